@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, url_filter
+from . import chat_format, exact_dedup, mixing, quality, url_filter
 
 QUERIES = {
+    "op7_mix": mixing.op7_mix,
+    "op10_quality": quality.op10_quality,
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_url_filter": url_filter.op5_url_filter,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
