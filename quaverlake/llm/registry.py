@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, mixing, quality, url_filter
+from . import chat_format, exact_dedup, mixing, ngram_join, quality, url_filter
 
 QUERIES = {
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op7_mix": mixing.op7_mix,
     "op10_quality": quality.op10_quality,
     "op4_chat_format": chat_format.op4_chat_format,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_ngram_join": ngram_join.OP3_SQL,
     "op4_chat_format": chat_format.OP4_SQL,
     "op5_url_filter": url_filter.OP5_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
