@@ -40,6 +40,8 @@ def _state(staged: DataFrame, path: str, max_bytes_per_trigger: int) -> DataFram
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # Many small stores: without this each reserves some MB of disk ahead.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     checkpoint = common.new_path(spark, "dedup-state")
     rows = (
