@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, mixing, ngram_join, quality, url_filter
+from . import chat_format, decontaminate, exact_dedup, mixing, ngram_join, quality, url_filter
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op7_mix": mixing.op7_mix,
     "op10_quality": quality.op10_quality,
