@@ -9,15 +9,13 @@ sequences are compared along their diagonal and the best-scoring stretch is kept
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import WordHashes, window_hashes
+from .tokens import runs, window_hashes, words_of
 
 #: 1 selects a token, 0 ignores it. Any two substitutions in 16 tokens leave one mask whole somewhere.
 MASKS = ("11111111", "110110010111", "1110100110011", "10011010111001")
@@ -32,11 +30,21 @@ MIN_OVERLAP, MIN_SHARE = 13, 0.8
 #: The bitmap of the benchmark's seeds: 4 MB, whatever the benchmark.
 BITMAP_BITS = 25
 
-_TOKEN = re.compile(r"[^\W_]+")
+#: Tokens are runs of ASCII letters, digits and all characters beyond ASCII.
+_BLANK = np.ones(256, bool)
+_BLANK[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
+
+
+def token_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    h, _, _, first = words_of([(t or "").lower().encode() for t in texts], _BLANK)
+    return [h[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [t.encode() for t in _TOKEN.findall((text or "").lower())]
+def _hashed(batch, id_column: str):
+    """(id, token hashes) of the batch's rows, hashed by runs of texts."""
+    ids, texts = batch.column(id_column).to_pylist(), batch.column("text").to_pylist()
+    for run in runs([len(t or "") * 2 + 1 for t in texts]):
+        yield from zip(ids[run], token_hashes(texts[run]))
 
 
 def seeds(h: np.ndarray, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
@@ -56,11 +64,9 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _item_rows(batches):
     """(item_id, n, tokens, seeds) of the benchmark's items."""
-    hashes = WordHashes()
     for batch in batches:
         out = {"item_id": [], "n": [], "tokens": [], "seeds": []}
-        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-            h = hashes(tokens(text))
+        for item, h in _hashed(batch, "item_id"):
             if len(h) < MIN_ITEM:
                 continue
             s, at = seeds(h, (len(h),) if len(h) < SPAN else ())
@@ -92,7 +98,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Returns doc_id, item_id, doc_start, doc_end (tokens of the document), n_tokens and
     n_equal of the pair's longest overlap; pairs without one have no row. Tokens are
-    runs of letters and digits in lower case. Null, empty and blank texts match
+    runs of letters, digits and characters beyond ASCII, in lower case. Null, empty and blank texts match
     nothing. Items that repeat are matched each by its own item_id; rows that repeat a
     doc_id are one document; null ids are left out. Empty tables give an empty result;
     other columns are ignored.
@@ -118,12 +124,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def regions(batches):
         """Stretches of documents around seeds that may be the benchmark's."""
-        table, hashes = np.frombuffer(shared.value, np.uint8), WordHashes()
+        table = np.frombuffer(shared.value, np.uint8)
         has = lambda b: (table[b >> 3] >> (b & 7).astype(np.uint8)) & 1
         for batch in batches:
             out = {"doc_id": [], "start": [], "tokens": [], "seeds": []}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                h = hashes(tokens(text.as_py()))
+            for doc, h in _hashed(batch, "doc_id"):
                 s, at = seeds(h, short)
                 one, two = _bits(s)
                 found = np.flatnonzero(has(one))

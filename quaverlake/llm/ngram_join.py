@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 
 from . import common
 from .components import components
-from .tokens import WordHashes, mixed, window_hashes
+from .tokens import mixed, runs, window_hashes, words_of
 
 WORDS = 5
 #: Similar: PERCENT_OF_UNION of the union is shared.
@@ -38,13 +38,26 @@ PERCENT = 80
 FILTER_BITS = 24
 
 
-def shingles(text: bytes, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles of a text; the whole text as one if it is shorter."""
-    w = text.lower().split()
-    if not w:
-        return np.zeros(0, np.uint64)
-    h = hashes(w)
-    return np.unique(window_hashes(h, tuple(range(min(words, len(h))))))
+def shingles(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its word shingles; a shorter text is one shingle."""
+    h, _, _, first = words_of([t.lower() for t in texts])
+    windows = window_hashes(h, tuple(range(words)))  # those across texts aren't used
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a >= words:
+            s = np.sort(windows[a : b - words + 1])
+            s = s[np.concatenate([[True], s[1:] != s[:-1]])]
+        else:
+            s = window_hashes(h[a:b], tuple(range(b - a))) if b > a else h[:0]
+        out.append(s)
+    return out
+
+
+def _shingled(batch):
+    """(slice, shingle sets) by runs of the batch's texts."""
+    texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+    for run in runs([len(t) + 1 for t in texts]):
+        yield run, shingles(texts[run])
 
 
 def bands(limit: int) -> list[tuple[int, int]]:
@@ -74,99 +87,110 @@ def scheme(j: int) -> tuple[int, int, int, int]:
     return parts + spare, 2, 1, spare
 
 
-def signatures(elements: np.ndarray, j: int) -> np.ndarray:
-    """Signatures of a set of hashes in instance j."""
-    n1, n2, k2, spare = scheme(j)
-    if not n1:
-        return np.zeros(0, np.uint64)
-    placed = mixed(elements, 1)
-    cell = (placed >> np.uint64(32)) % np.uint64(n1 * n2)
-    cell = cell.astype(np.int64)
-    low, high = placed & np.uint64(0xFFFFFFFF), placed >> np.uint64(32)
+def _small(elements: np.ndarray, j: int) -> np.ndarray:
+    """Signatures of a set in an instance of one part: the subsets of its cells are enumerated."""
+    _, n2, k2, spare = scheme(j)
+    cell = ((mixed(elements, 1) >> np.uint64(32)) % np.uint64(n2)).astype(np.int64)
     value = mixed(elements, 2)
-    low, high = value & np.uint64(0xFFFFFFFF), value >> np.uint64(32)
-    size = n1 * n2
-    sums = np.bincount(cell, low.astype(float), size).astype(np.uint64) + (
-        np.bincount(cell, high.astype(float), size).astype(np.uint64) << np.uint64(32)
+    sums, held = np.zeros(n2, np.uint64), np.bincount(cell, minlength=n2)
+    np.add.at(sums, cell, value)
+    kept = [list(keep) for keep in combinations(range(n2), n2 - k2)]
+    some = np.array([held[keep].any() for keep in kept])
+    labels = np.array([(j << 48) + (c << 32) for c in range(len(kept))], np.uint64)
+    out = mixed(np.array([sums[keep].sum(dtype=np.uint64) for keep in kept], np.uint64) + mixed(labels, 3))
+    return out[some] if some.all() else np.concatenate([out[some], mixed(out[~some], 4)])
+
+
+def signatures(sets: list[np.ndarray], instances: list[int]) -> list[np.ndarray]:
+    """Signatures of some sets of hashes, each in its instance."""
+    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
+    large = []
+    for i, (s, j) in enumerate(zip(sets, instances)):
+        n1 = scheme(j)[0]
+        if n1 == 1:
+            out[i] = _small(s, j)
+        elif n1:
+            large.append(i)
+    if not large:
+        return out
+    # Two cells a part, of which one is left out: every cell is a signature.
+    parts = np.array([scheme(instances[i])[0] for i in large])
+    sizes = np.array([len(sets[i]) for i in large])
+    begin = np.concatenate([[0], np.cumsum(2 * parts)])
+    total = int(begin[-1])
+    elements = np.concatenate([sets[i] for i in large])
+    cell = (mixed(elements, 1) >> np.uint64(32)) % np.repeat(2 * parts, sizes).astype(np.uint64)
+    cell = cell.astype(np.int64) + np.repeat(begin[:-1], sizes)
+    value = mixed(elements, 2)
+    sums = np.bincount(cell, (value & np.uint64(0xFFFFFFFF)).astype(float), total).astype(np.uint64) + (
+        np.bincount(cell, (value >> np.uint64(32)).astype(float), total).astype(np.uint64) << np.uint64(32)
     )
-    held = np.bincount(cell, minlength=size).reshape(n1, n2)
-    sums = sums.reshape(n1, n2)
-    out, full, part = [], [], np.arange(n1, dtype=np.uint64)
-    for c, keep in enumerate(combinations(range(n2), n2 - k2)):
-        some = held[:, keep].sum(1) > 0
-        content = sums[:, keep].sum(1, dtype=np.uint64)
-        label = np.uint64(j << 48) + np.uint64(c << 40) + part
-        out.append(mixed(content + mixed(label, 3)))
-        full.append(some)
-    full = np.array(full)
-    empty_parts = int((~full.all(0)).sum())
-    out = np.array(out)
-    signs = [out[full]]
-    if empty_parts > spare:
-        signs.append(mixed(out[~full], 4))
-    return np.concatenate(signs)
-
-
-def _set_id(elements: np.ndarray) -> tuple[int, int]:
-    a, b = mixed(elements, 5).sum(dtype=np.uint64), mixed(elements, 6).sum(dtype=np.uint64)
-    return int(a.astype(np.int64)), int(b.astype(np.int64))
+    some = np.bincount(cell, minlength=total) > 0
+    owner = np.repeat(np.arange(len(large)), 2 * parts)
+    label = (np.array([instances[i] for i in large], np.uint64) << np.uint64(48))[owner]
+    sigs = mixed(sums + mixed(label + (np.arange(total) - begin[owner]).astype(np.uint64), 3))
+    lacking = np.bincount(owner[::2], ~(some[::2] & some[1::2]), len(large))
+    spare = np.array([scheme(instances[i])[3] for i in large])
+    for k, i in enumerate(large):
+        own, full = sigs[begin[k] : begin[k + 1]], some[begin[k] : begin[k + 1]]
+        out[i] = own[full]
+        if lacking[k] > spare[k]:
+            out[i] = np.concatenate([out[i], mixed(own[~full], 4)])
+    return out
+
+
+def _set_ids(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums of scrambled elements for each set; equal for equal sets."""
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    out = []
+    for salt in (5, 6):
+        p = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(mixed(flat, salt), out=p[1:])
+        out.append((p[at[1:]] - p[at[:-1]]).view(np.int64))
+    return out[0], out[1]
 
 
 def _sets(batches):
-    hashes = WordHashes()
     for batch in batches:
-        ids = batch.column("doc_id")
-        n, a, b = [], [], []
-        for text in batch.column("text"):
-            s = shingles((text.as_py() or "").encode(), hashes)
-            x, y = _set_id(s)
-            n.append(len(s))
-            a.append(x)
-            b.append(y)
-        yield pa.RecordBatch.from_pydict(
-            {"doc_id": ids, "n": pa.array(n, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
-        )
+        for run, sets in _shingled(batch):
+            a, b = _set_ids(sets)
+            ids = batch.column("doc_id").slice(run.start, run.stop - run.start)
+            n = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "n": n, "a": a, "b": b})
 
 
 def _signed(batches):
     """(sig, doc_id) rows; of equal sets that one task sees, the first signs."""
-    hashes, seen = WordHashes(), set()
-    sigs, docs, held = [], [], 0
-
-    def full():
-        return pa.RecordBatch.from_pydict(
-            {"sig": np.concatenate(sigs).view(np.int64), "doc_id": np.concatenate(docs)}
-        )
-
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            s = shingles((text.as_py() or "").encode(), hashes)
-            if not len(s) or (key := _set_id(s)) in seen:
-                continue
-            seen.add(key)
-            j = int(np.searchsorted(_TOPS, len(s)))
-            own = np.unique(np.concatenate([signatures(s, j), signatures(s, j + 1)]))
-            sigs.append(own)
-            docs.append(np.full(len(own), doc_id, np.int64))
-            held += len(own)
-            if held > 100_000:
-                yield full()
-                sigs, docs, held = [], [], 0
-    if held:
-        yield full()
+        ids = batch.column("doc_id").to_pylist()
+        for run, sets in _shingled(batch):
+            new, owners = [], []
+            for doc_id, s, a, b in zip(ids[run], sets, *(x.tolist() for x in _set_ids(sets))):
+                if len(s) and (a, b) not in seen:
+                    seen.add((a, b))
+                    new.append(s)
+                    owners.append(doc_id)
+            own = np.searchsorted(_TOPS, [len(s) for s in new]) if new else []
+            for up in (0, 1):
+                sigs = signatures(new, [int(j) + up for j in own])
+                if sum(map(len, sigs)):
+                    docs = np.repeat(np.array(owners, np.int64), [len(x) for x in sigs])
+                    yield pa.RecordBatch.from_pydict({"sig": np.concatenate(sigs).view(np.int64), "doc_id": docs})
 
 
 def _verified(batches):
     """Pairs (a, b) with their texts -> (a, b, linked)."""
-    hashes, last = WordHashes(), (None, None)
+    last, held = None, np.zeros(0, np.uint64)
     for batch in batches:
         linked = []
         for a, x, y in zip(batch.column("a").to_pylist(), batch.column("text_a"), batch.column("text_b")):
-            if last[0] != a:
-                last = a, shingles((x.as_py() or "").encode(), hashes)
-            s, t = last[1], shingles((y.as_py() or "").encode(), hashes)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(s) + len(t) - both) and both > 0)
+            if last != a:
+                last, held = a, shingles([(x.as_py() or "").encode()])[0]
+            t = shingles([(y.as_py() or "").encode()])[0]
+            both = len(np.intersect1d(held, t, assume_unique=True))
+            linked.append(100 * both >= PERCENT * (len(held) + len(t) - both) and both > 0)
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_())})
 
 
@@ -232,35 +256,46 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     met = common.stage(met.where("held > 1"), "ngram-met")
 
     def pairs_of(df: DataFrame) -> DataFrame:
-        df = by_rep(df.distinct(), "a", "b").where("a <> b")
-        return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    pairs = common.stage(pairs_of(met.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))), "ngram-pairs")
-    judged = common.stage(_verify(pairs, known), "ngram-judged")
+        """Pairs of classes with the number of buckets in which they met."""
+        df = by_rep(df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
+        return df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n"))
+
+    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs whose classes aren't in one component yet."""
+        c = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
+        placed = pairs.join(c("b"), "b", "left").join(c("a"), "a", "left")
+        return placed.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(*pairs.columns)
+
+    pairs = pairs_of(met.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
+    pairs = common.stage(pairs, "ngram-pairs")
     class_edges = rep_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    # First each class with the one it met most; then what is still in different components.
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    judged = common.stage(_verify(best, known), "ngram-judged")
     links = judged.where("linked").select("a", "b").union(class_edges)
-    found = components(links, "ngram-components")
-    if not judged.where("not linked").isEmpty():
-        # Buckets in which a document didn't link with the smallest one: pairs across components.
-        of = common.stage(found, "ngram-found")
-        big = met.where("held > 2").select("sig", "doc_id", "hub")
-        # A bucket is of one component unless some document of it is in another than the smallest's.
-        c = lambda name: of.select(F.col("node").alias(name), F.col("component").alias(f"{name}_c"))
-        failed = judged.where("not linked").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        members = failed.join(rep_of.withColumnRenamed("doc_id", "d"), failed.doc_id == F.col("rep"), "left")
-        suspects = failed.union(members.where("d is not null").select("d")).distinct()
-        sigs = big.join(suspects, "doc_id", "left_semi").select("sig").distinct()
-        placed = big.join(sigs, "sig").join(c("doc_id"), "doc_id", "left")
-        placed = placed.select("sig", "doc_id", F.coalesce("doc_id_c", "doc_id").alias("c"))
-        placed = common.stage(placed, "ngram-placed")
-        split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-        placed = common.stage(placed.join(split, "sig"), "ngram-split")
-        other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-        crossing = placed.select("sig", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
-        more = pairs_of(crossing.select("a", "b")).join(pairs, ["a", "b"], "left_anti")
-        more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
-        if not more.where("linked").isEmpty():
-            found = components(links.union(more.where("linked").select("a", "b")), "ngram-components")
+    found = common.stage(components(links), "ngram-found")
+    rest = apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
+    rest = common.stage(_verify(common.stage(rest, "ngram-rest"), known), "ngram-judged")
+    links = links.union(rest.where("linked").select("a", "b"))
+    found = common.stage(components(links), "ngram-found")
+    failed = judged.union(rest).where("not linked")
+    # In a bucket where none failed all are linked to the smallest. In the others, all pairs of
+    # different components are left.
+    suspects = failed.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    suspects = suspects.select(F.col("rep").alias("doc_id")).union(rep_of.join(suspects, "rep").select("doc_id")).distinct()
+    big = met.where("held > 2").select("sig", "doc_id")
+    sigs = big.join(suspects, "doc_id", "left_semi").select("sig").distinct()
+    placed = big.join(sigs, "sig", "left_semi").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = common.stage(placed.select("sig", "doc_id", F.coalesce("component", "doc_id").alias("c")), "ngram-placed")
+    split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+    placed = common.stage(placed.join(split, "sig", "left_semi"), "ngram-split")
+    other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
+    crossing = placed.select("sig", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
+    tried = failed.select("a", "b")
+    more = pairs_of(crossing.select("a", "b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
+    if not more.where("linked").isEmpty():
+        found = components(links.union(more.where("linked").select("a", "b")), "ngram-components")
     found = common.stage(found, "ngram-found").select(F.col("node").alias("doc_id"), "component")
     return sets.join(found, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")

@@ -3,31 +3,68 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
-
-#: Words whose hashes a worker remembers at most.
-CACHE = 1 << 19
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes:
-    """64-bit hashes of byte strings; remembers the most recent vocabulary only."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            new = xxhash.xxh3_64_intdigest
-            for w in words:
-                if w not in known:
-                    known[w] = new(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+#: Texts are hashed in runs of about so many bytes, which bounds a worker's memory.
+RUN_BYTES = 2 << 20
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base modulo 2**64 and of its inverse."""
+    size = max(RUN_BYTES + 1, 1 << (n - 1).bit_length() if n > 1 else 1)
+    if size not in _POWERS:
+        up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        _POWERS.clear()
+        _POWERS[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    up, down = _POWERS[size]
+    return up[:n], down[:n]
+
+
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial hash: the hash of raw[i:j] is (p[j] - p[i]) * base ** -i."""
+    p = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * powers(len(raw))[0], out=p[1:])
+    return p
+
+
+#: Of each byte whether it separates words.
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def runs(sizes: list[int]):
+    """Slices of neighbouring texts of about RUN_BYTES."""
+    begin = held = 0
+    for k, s in enumerate(sizes):
+        if held and held + s > RUN_BYTES:
+            yield slice(begin, k)
+            begin, held = k, 0
+        held += s
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
+def words_of(texts: list[bytes], blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends, first) of the words of some texts.
+
+    A word is a run of bytes that ``blank`` doesn't mark; starts and ends are positions
+    in the texts joined with a newline each. Text k has the words first[k] to
+    first[k + 1].
+    """
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    inside = np.zeros(len(raw) + 1, np.int8)
+    inside[1:] = ~blank[raw]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    p = prefix_sums(raw)
+    hashes = mixed((p[ends] - p[starts]) * powers(len(raw) + 1)[1][starts])
+    limits = np.cumsum([len(t) + 1 for t in texts])
+    first = np.concatenate([[0], np.searchsorted(starts, limits)])
+    return hashes, starts, ends, first
 
 
 def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
