@@ -55,3 +55,25 @@ def lower_ascii(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     ascii_only = F.length(text) == F.octet_length(text)
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+#: Bits of the filter of ids: 2**24 bits in rows of 4 KB, so 2 MB are broadcast, whatever the input.
+FILTER_BITS = 24
+
+
+def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``ids`` (one column); few others remain.
+
+    A filter before a join: it keeps the texts of other rows out of the shuffle. With
+    more ids than bits it lets all rows pass, which the join bears.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS)) + 1
+    bits = ids.select(bit(ids.columns[0]).alias("_bit")).distinct()
+    bitmap = bits.groupBy(F.expr("bitmap_bucket_number(_bit)").alias("_bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(_bit))").alias("_bits")
+    )
+    at = "cast(bitmap_bit_position(_bit) as int)"
+    is_set = F.expr(f"(shiftright(cast(conv(hex(substring(_bits, {at} div 8 + 1, 1)), 16, 10) as int), {at} % 8) & 1) = 1")
+    columns = df.columns
+    df = df.withColumn("_bit", bit(column)).withColumn("_bucket", F.expr("bitmap_bucket_number(_bit)"))
+    return df.join(F.broadcast(bitmap), "_bucket").where(is_set).select(*columns)

@@ -34,9 +34,6 @@ from .tokens import mixed, runs, window_hashes, words_of
 WORDS = 5
 #: Similar: PERCENT_OF_UNION of the union is shared.
 PERCENT = 80
-#: Bits of the filter of candidate documents: 2 MB are broadcast, whatever the input.
-FILTER_BITS = 24
-
 
 def shingles(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     """Of each text the sorted distinct hashes of its word shingles; a shorter text is one shingle."""
@@ -196,22 +193,8 @@ def _verified(batches):
 
 def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Verdicts on pairs (a, b) of doc_ids; the texts of other documents are left at the scan where possible."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bit("id").alias("bit")).distinct()
-    bitmap = wanted.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")
-    )
-    at = "cast(bitmap_bit_position(bit) as int)"
-    is_set = F.expr(
-        f"(shiftright(cast(conv(hex(substring(bits, {at} div 8 + 1, 1)), 16, 10) as int), {at} % 8) & 1) = 1"
-    )
-    texts = (
-        docs.select("doc_id", "text")
-        .withColumn("bit", bit("doc_id"))
-        .withColumn("bucket", F.expr("bitmap_bucket_number(bit)"))
-        .join(F.broadcast(bitmap), "bucket")
-        .where(is_set)
-    )
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    texts = common.rows_with_ids(docs.select("doc_id", "text"), "doc_id", wanted)
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, linked boolean")
