@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, exact_dedup, licenses, mixing, ngram_join, quality, suffix_dedup, url_filter
+from . import chaining, chat_format, decontaminate, exact_dedup, licenses, mixing, ngram_join, quality, suffix_dedup, url_filter
 
 QUERIES = {
+    "op8_chaining": chaining.op8_chaining,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op6_licenses": licenses.op6_licenses,
     "op1_decontaminate": decontaminate.op1_decontaminate,
