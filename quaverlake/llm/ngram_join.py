@@ -9,12 +9,13 @@ In an instance with the distance bound k the shingle domain is partitioned by ha
 n1 parts of n2 cells. Of n1 > k / (k2 + 1) parts, one differs in at most k2 cells; the
 subsets of n2 - k2 cells of each part are enumerated and each is one signature. Sets
 that are close enough share one. A signature of no elements says nothing; ``spare`` more
-parts make up for those, and sets with more of them than that sign their empty subsets
-too, in a namespace of their own. So no link is lost.
+parts make up for those, and sets with too many of them sign in further namespaces (see
+``signatures``). So no link is lost.
 
-Within a bucket of equal signatures only pairs with its smallest document are verified
-(on the exact sets). Where some fail, all pairs across different components of such a
-bucket are verified too. Equal sets are one class from the start.
+Within a bucket of equal signatures pairs with its smallest document are verified (on
+the exact sets), first the pair that met most. Where some fail, pairs across different
+components of such a bucket are verified too, if they met as often as sets that link
+must. Equal sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -84,55 +85,76 @@ def scheme(j: int) -> tuple[int, int, int, int]:
     return parts + spare, 2, 1, spare
 
 
-def _small(elements: np.ndarray, j: int) -> np.ndarray:
-    """Signatures of a set in an instance of one part: the subsets of its cells are enumerated."""
-    _, n2, k2, spare = scheme(j)
+def _small(elements: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set in an instance of one part, and which of them are of no elements."""
+    _, n2, k2, _ = scheme(j)
     cell = ((mixed(elements, 1) >> np.uint64(32)) % np.uint64(n2)).astype(np.int64)
-    value = mixed(elements, 2)
     sums, held = np.zeros(n2, np.uint64), np.bincount(cell, minlength=n2)
-    np.add.at(sums, cell, value)
+    np.add.at(sums, cell, mixed(elements, 2))
     kept = [list(keep) for keep in combinations(range(n2), n2 - k2)]
-    some = np.array([held[keep].any() for keep in kept])
+    empty = np.array([not held[keep].any() for keep in kept])
     labels = np.array([(j << 48) + (c << 32) for c in range(len(kept))], np.uint64)
-    out = mixed(np.array([sums[keep].sum(dtype=np.uint64) for keep in kept], np.uint64) + mixed(labels, 3))
-    return out[some] if some.all() else np.concatenate([out[some], mixed(out[~some], 4)])
-
-
-def signatures(sets: list[np.ndarray], instances: list[int]) -> list[np.ndarray]:
-    """Signatures of some sets of hashes, each in its instance."""
-    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
-    large = []
-    for i, (s, j) in enumerate(zip(sets, instances)):
-        n1 = scheme(j)[0]
-        if n1 == 1:
-            out[i] = _small(s, j)
-        elif n1:
-            large.append(i)
-    if not large:
-        return out
-    # Two cells a part, of which one is left out: every cell is a signature.
-    parts = np.array([scheme(instances[i])[0] for i in large])
-    sizes = np.array([len(sets[i]) for i in large])
+    sigs = np.array([sums[keep].sum(dtype=np.uint64) for keep in kept], np.uint64) + mixed(labels, 3)
+    return mixed(sigs), empty
+
+
+def _large(sets: list[np.ndarray], instances: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same for instances of many parts of two cells, of which one is left out: each cell is a signature."""
+    parts = np.array([scheme(j)[0] for j in instances])
     begin = np.concatenate([[0], np.cumsum(2 * parts)])
     total = int(begin[-1])
-    elements = np.concatenate([sets[i] for i in large])
+    sizes = [len(s) for s in sets]
+    elements = np.concatenate(sets)
     cell = (mixed(elements, 1) >> np.uint64(32)) % np.repeat(2 * parts, sizes).astype(np.uint64)
     cell = cell.astype(np.int64) + np.repeat(begin[:-1], sizes)
     value = mixed(elements, 2)
     sums = np.bincount(cell, (value & np.uint64(0xFFFFFFFF)).astype(float), total).astype(np.uint64) + (
         np.bincount(cell, (value >> np.uint64(32)).astype(float), total).astype(np.uint64) << np.uint64(32)
     )
-    some = np.bincount(cell, minlength=total) > 0
-    owner = np.repeat(np.arange(len(large)), 2 * parts)
-    label = (np.array([instances[i] for i in large], np.uint64) << np.uint64(48))[owner]
-    sigs = mixed(sums + mixed(label + (np.arange(total) - begin[owner]).astype(np.uint64), 3))
-    lacking = np.bincount(owner[::2], ~(some[::2] & some[1::2]), len(large))
-    spare = np.array([scheme(instances[i])[3] for i in large])
-    for k, i in enumerate(large):
-        own, full = sigs[begin[k] : begin[k + 1]], some[begin[k] : begin[k + 1]]
-        out[i] = own[full]
-        if lacking[k] > spare[k]:
-            out[i] = np.concatenate([out[i], mixed(own[~full], 4)])
+    empty = np.bincount(cell, minlength=total) == 0
+    owner = np.repeat(np.arange(len(sets)), 2 * parts)
+    label = (np.array(instances, np.uint64) << np.uint64(48))[owner] + (np.arange(total) - begin[owner]).astype(np.uint64)
+    sigs = mixed(sums + mixed(label, 3))
+    return [(sigs[a:b], empty[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
+
+
+def signatures(sets: list[np.ndarray], instances: list[int], common_ones: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each set its signatures in its instance, and in how many buckets a similar set must meet it.
+
+    Leaving the same elements out of two sets doesn't take them farther apart, so sets
+    sign without ``common_ones`` (sorted). A set with too many parts that then have an
+    empty cell signs with all its elements too, and if it still has, its empty cells.
+    """
+    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))] * len(sets)
+    todo = [i for i, j in enumerate(instances) if scheme(j)[0] and len(sets[i])]
+    if not todo:
+        return out
+    flat = np.concatenate([sets[i] for i in todo])
+    if len(common_ones):
+        rare = common_ones[np.minimum(np.searchsorted(common_ones, flat), len(common_ones) - 1)] != flat
+    else:
+        rare = np.ones(len(flat), bool)
+    cuts = np.cumsum([len(sets[i]) for i in todo])[:-1]
+    reduced = [sets[i][keep] for i, keep in zip(todo, np.split(rare, cuts))]
+    large = [k for k, i in enumerate(todo) if scheme(instances[i])[0] > 1]
+    signed = dict(zip(large, _large([reduced[k] for k in large], [instances[todo[k]] for k in large]))) if large else {}
+    for k, i in enumerate(todo):
+        j = instances[i]
+        spare = scheme(j)[3]
+        allowed = spare // 2
+        need = 1 + spare - allowed
+        one = (lambda e: _small(e, j)) if k not in signed else (lambda e: _large([e], [j])[0])  # noqa: B023
+        lacking = lambda empty: int(empty.any()) if k not in signed else int((empty[::2] | empty[1::2]).sum())  # noqa: E731, B023
+        sigs, empty = signed.get(k) or one(reduced[k])
+        all_sigs, needs = [sigs[~empty]], [np.full(int((~empty).sum()), need, np.int32)]
+        if lacking(empty) > allowed:
+            sigs, empty = one(sets[i])
+            all_sigs.append(mixed(sigs[~empty], 7))
+            needs.append(np.full(int((~empty).sum()), need, np.int32))
+            if lacking(empty) > allowed:
+                all_sigs.append(mixed(sigs[empty], 8))
+                needs.append(np.ones(int(empty.sum()), np.int32))
+        out[i] = np.concatenate(all_sigs), np.concatenate(needs)
     return out
 
 
@@ -157,24 +179,61 @@ def _sets(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "n": n, "a": a, "b": b})
 
 
-def _signed(batches):
-    """(sig, doc_id) rows; of equal sets that one task sees, the first signs."""
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        for run, sets in _shingled(batch):
-            new, owners = [], []
-            for doc_id, s, a, b in zip(ids[run], sets, *(x.tolist() for x in _set_ids(sets))):
-                if len(s) and (a, b) not in seen:
-                    seen.add((a, b))
-                    new.append(s)
-                    owners.append(doc_id)
-            own = np.searchsorted(_TOPS, [len(s) for s in new]) if new else []
-            for up in (0, 1):
-                sigs = signatures(new, [int(j) + up for j in own])
-                if sum(map(len, sigs)):
-                    docs = np.repeat(np.array(owners, np.int64), [len(x) for x in sigs])
-                    yield pa.RecordBatch.from_pydict({"sig": np.concatenate(sigs).view(np.int64), "doc_id": docs})
+def _signer(common_ones: np.ndarray):
+    """A map of documents to (sig, doc_id, need) rows; of equal sets that one task sees, the first signs."""
+
+    def signed(batches):
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for run, sets in _shingled(batch):
+                new, owners = [], []
+                for doc_id, s, a, b in zip(ids[run], sets, *(x.tolist() for x in _set_ids(sets))):
+                    if len(s) and (a, b) not in seen:
+                        seen.add((a, b))
+                        new.append(s)
+                        owners.append(doc_id)
+                own = np.searchsorted(_TOPS, [len(s) for s in new]) if new else []
+                for up in (0, 1):
+                    rows = signatures(new, [int(j) + up for j in own], common_ones)
+                    if sum(len(x) for x, _ in rows):
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "sig": np.concatenate([x for x, _ in rows]).view(np.int64),
+                                "doc_id": np.repeat(np.array(owners, np.int64), [len(x) for x, _ in rows]),
+                                "need": np.concatenate([n for _, n in rows]),
+                            }
+                        )
+
+    return signed
+
+
+#: Sets that are looked at for common shingles, in how many of them one is common, and how many are left out at most.
+#: Which are found changes the work only, not the result.
+SAMPLE, COMMON, MOST_COMMON = 3000, 3, 1 << 16
+
+
+def _common_shingles(docs: DataFrame, sets: DataFrame) -> np.ndarray:
+    """Shingles that many dissimilar documents have, such as those of boilerplate lines."""
+    few = sets.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id")).orderBy(F.xxhash64("a")).limit(SAMPLE)
+
+    def exploded(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for run, found in _shingled(batch):
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": np.repeat(np.array(ids[run], np.int64), [len(s) for s in found]), "h": np.concatenate(found).view(np.int64)}
+                )
+
+    chosen = docs.join(F.broadcast(few.select("doc_id")), "doc_id").mapInArrow(exploded, "doc_id long, h long")
+    chosen = common.stage(chosen, "ngram-sample")
+    often = chosen.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    # Documents most of whose shingles are common are near copies of each other: theirs don't count.
+    shares = chosen.join(often, "h").groupBy("doc_id").agg(F.avg((F.col("df") >= COMMON).cast("int")).alias("share"))
+    apart = chosen.join(shares.where("share <= 0.5"), "doc_id")
+    often = apart.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= COMMON)
+    rows = often.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()
+    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
 def _verified(batches):
@@ -233,15 +292,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             df = df.join(m, df[c] == m[f"{c}_id"], "left").withColumn(c, F.coalesce(f"{c}_rep", c)).drop(f"{c}_id", f"{c}_rep")
         return df
 
-    signed = known.mapInArrow(_signed, "sig long, doc_id long")
+    signed = known.mapInArrow(_signer(_common_shingles(known, sets)), "sig long, doc_id long, need int")
     bucket = W.partitionBy("sig")
     met = signed.withColumn("hub", F.min("doc_id").over(bucket)).withColumn("held", F.count(F.lit(1)).over(bucket))
     met = common.stage(met.where("held > 1"), "ngram-met")
 
-    def pairs_of(df: DataFrame) -> DataFrame:
-        """Pairs of classes with the number of buckets in which they met."""
-        df = by_rep(df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
-        return df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n"))
+    sizes = sets.where("doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
+    sizes = common.stage(sizes, "ngram-sizes")
+
+    def pairs_of(df: DataFrame, *keys: str) -> DataFrame:
+        """Pairs of classes of sizes that may link, with the number of buckets in which they met."""
+        df = by_rep(df.groupBy("a", "b", *keys).agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
+        df = df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *keys).agg(F.sum("n").alias("n"))
+        of = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n_least").alias(f"l{c}"), F.col("n_most").alias(f"m{c}"))
+        fits = (F.col("ma") * 100 >= F.col("lb") * PERCENT) & (F.col("mb") * 100 >= F.col("la") * PERCENT)
+        return df.join(of("a"), "a").join(of("b"), "b").where(fits).select("a", "b", *keys, "n")
 
     def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
         """Pairs whose classes aren't in one component yet."""
@@ -266,16 +331,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # different components are left.
     suspects = failed.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     suspects = suspects.select(F.col("rep").alias("doc_id")).union(rep_of.join(suspects, "rep").select("doc_id")).distinct()
-    big = met.where("held > 2").select("sig", "doc_id")
+    big = met.where("held > 2").select("sig", "doc_id", "need")
     sigs = big.join(suspects, "doc_id", "left_semi").select("sig").distinct()
     placed = big.join(sigs, "sig", "left_semi").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = common.stage(placed.select("sig", "doc_id", F.coalesce("component", "doc_id").alias("c")), "ngram-placed")
+    placed = common.stage(placed.select("sig", "doc_id", "need", F.coalesce("component", "doc_id").alias("c")), "ngram-placed")
     split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
     placed = common.stage(placed.join(split, "sig", "left_semi"), "ngram-split")
     other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    crossing = placed.select("sig", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
+    crossing = placed.select("sig", "need", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
     tried = failed.select("a", "b")
-    more = pairs_of(crossing.select("a", "b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    # Sets that link meet in ``need`` buckets of an instance, so fewer are chance.
+    more = pairs_of(crossing.select("a", "b", "need"), "need").where("n >= need").select("a", "b").distinct()
+    more = more.join(tried, ["a", "b"], "left_anti")
     more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
     if not more.where("linked").isEmpty():
         found = components(links.union(more.where("linked").select("a", "b")), "ngram-components")
