@@ -68,27 +68,31 @@ def bands(limit: int) -> list[tuple[int, int]]:
     return out
 
 
+#: Partitions of the domain that a set with many empty cells tries.
+LEVELS = 5
+
 _BANDS = bands(1 << 40)
 _TOPS = np.array([b[1] for b in _BANDS])
 
 
-def scheme(j: int) -> tuple[int, int, int, int]:
+def scheme(j: int, level: int = 0) -> tuple[int, int, int, int]:
     """(n1, n2, k2, spare) of instance j, which has the pairs within band j - 1 and between it and band j."""
     high = _BANDS[j][1] + _BANDS[max(j - 1, 0)][1]
     k = high * (100 - PERCENT) // (100 + PERCENT)  # |A ^ B| <= (|A| + |B|) (1 - s) / (1 + s)
     if k == 0:
         return 0, 0, 0, 0
-    if k <= 5:
+    if k <= 8:
         return 1, k + 3, k, 0
     parts = k // 2 + 1
-    spare = 2 + parts // 12
-    return parts + spare, 2, 1, spare
+    spare = 3 + parts // 7
+    # Two of three cells hold more elements than one of two, but take half as many signatures again.
+    return parts + spare, 2 if level == 0 else 3, 1, spare
 
 
-def _small(elements: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+def _small(elements: np.ndarray, j: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a set in an instance of one part, and which of them are of no elements."""
     _, n2, k2, _ = scheme(j)
-    cell = ((mixed(elements, 1) >> np.uint64(32)) % np.uint64(n2)).astype(np.int64)
+    cell = ((mixed(elements, 100 + seed) >> np.uint64(32)) % np.uint64(n2)).astype(np.int64)
     sums, held = np.zeros(n2, np.uint64), np.bincount(cell, minlength=n2)
     np.add.at(sums, cell, mixed(elements, 2))
     kept = [list(keep) for keep in combinations(range(n2), n2 - k2)]
@@ -98,64 +102,73 @@ def _small(elements: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(sigs), empty
 
 
-def _large(sets: list[np.ndarray], instances: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The same for instances of many parts of two cells, of which one is left out: each cell is a signature."""
-    parts = np.array([scheme(j)[0] for j in instances])
-    begin = np.concatenate([[0], np.cumsum(2 * parts)])
+def _large(sets: list[np.ndarray], instances: list[int], level: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same for instances of many parts, with one cell of each left out in turn."""
+    n2 = scheme(instances[0], level)[1]
+    cells = np.array([scheme(j, level)[0] * n2 for j in instances])
+    begin = np.concatenate([[0], np.cumsum(cells)])
     total = int(begin[-1])
     sizes = [len(s) for s in sets]
     elements = np.concatenate(sets)
-    cell = (mixed(elements, 1) >> np.uint64(32)) % np.repeat(2 * parts, sizes).astype(np.uint64)
+    cell = (mixed(elements, 100 + level) >> np.uint64(32)) % np.repeat(cells, sizes).astype(np.uint64)
     cell = cell.astype(np.int64) + np.repeat(begin[:-1], sizes)
     value = mixed(elements, 2)
     sums = np.bincount(cell, (value & np.uint64(0xFFFFFFFF)).astype(float), total).astype(np.uint64) + (
         np.bincount(cell, (value >> np.uint64(32)).astype(float), total).astype(np.uint64) << np.uint64(32)
     )
-    empty = np.bincount(cell, minlength=total) == 0
-    owner = np.repeat(np.arange(len(sets)), 2 * parts)
+    held = np.bincount(cell, minlength=total)
+    # The content of a part without one of its cells.
+    sums = np.repeat(sums.reshape(-1, n2).sum(1, dtype=np.uint64), n2) - sums
+    empty = np.repeat(held.reshape(-1, n2).sum(1), n2) == held
+    owner = np.repeat(np.arange(len(sets)), cells)
     label = (np.array(instances, np.uint64) << np.uint64(48))[owner] + (np.arange(total) - begin[owner]).astype(np.uint64)
     sigs = mixed(sums + mixed(label, 3))
     return [(sigs[a:b], empty[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
 
 
 def signatures(sets: list[np.ndarray], instances: list[int], common_ones: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of each set its signatures in its instance, and in how many buckets a similar set must meet it.
+    """Of each set its signatures in its instance, and in how many parts a set that is equal must meet it.
 
     Leaving the same elements out of two sets doesn't take them farther apart, so sets
-    sign without ``common_ones`` (sorted). A set with too many parts that then have an
-    empty cell signs with all its elements too, and if it still has, its empty cells.
+    sign without ``common_ones`` (sorted). A set with more empty cells than it may have
+    signs again on the next level, with all its elements and another partition of the
+    domain each time; the empty cells of the last level are signatures too. Of two sets
+    that link the one that needs fewer levels has enough full cells on its last one, and
+    the other signs there too.
     """
-    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))] * len(sets)
+    out: list[list] = [[] for _ in sets]
     todo = [i for i, j in enumerate(instances) if scheme(j)[0] and len(sets[i])]
-    if not todo:
-        return out
-    flat = np.concatenate([sets[i] for i in todo])
-    if len(common_ones):
-        rare = common_ones[np.minimum(np.searchsorted(common_ones, flat), len(common_ones) - 1)] != flat
-    else:
-        rare = np.ones(len(flat), bool)
-    cuts = np.cumsum([len(sets[i]) for i in todo])[:-1]
-    reduced = [sets[i][keep] for i, keep in zip(todo, np.split(rare, cuts))]
-    large = [k for k, i in enumerate(todo) if scheme(instances[i])[0] > 1]
-    signed = dict(zip(large, _large([reduced[k] for k in large], [instances[todo[k]] for k in large]))) if large else {}
-    for k, i in enumerate(todo):
-        j = instances[i]
-        spare = scheme(j)[3]
-        allowed = spare // 2
-        need = 1 + spare - allowed
-        one = (lambda e: _small(e, j)) if k not in signed else (lambda e: _large([e], [j])[0])  # noqa: B023
-        lacking = lambda empty: int(empty.any()) if k not in signed else int((empty[::2] | empty[1::2]).sum())  # noqa: E731, B023
-        sigs, empty = signed.get(k) or one(reduced[k])
-        all_sigs, needs = [sigs[~empty]], [np.full(int((~empty).sum()), need, np.int32)]
-        if lacking(empty) > allowed:
-            sigs, empty = one(sets[i])
-            all_sigs.append(mixed(sigs[~empty], 7))
-            needs.append(np.full(int((~empty).sum()), need, np.int32))
-            if lacking(empty) > allowed:
-                all_sigs.append(mixed(sigs[empty], 8))
-                needs.append(np.ones(int(empty.sum()), np.int32))
-        out[i] = np.concatenate(all_sigs), np.concatenate(needs)
-    return out
+    if todo:
+        flat = np.concatenate([sets[i] for i in todo])
+        if len(common_ones):
+            rare = common_ones[np.minimum(np.searchsorted(common_ones, flat), len(common_ones) - 1)] != flat
+        else:
+            rare = np.ones(len(flat), bool)
+        cuts = np.cumsum([len(sets[i]) for i in todo])[:-1]
+        elements = dict(zip(todo, (sets[i][keep] for i, keep in zip(todo, np.split(rare, cuts)))))
+    for level in range(LEVELS):
+        if not todo:
+            break
+        large = [i for i in todo if scheme(instances[i])[0] > 1]
+        signed = dict(zip(large, _large([elements[i] for i in large], [instances[i] for i in large], level))) if large else {}
+        again = []
+        for i in todo:
+            sigs, empty = signed[i] if i in signed else _small(elements[i], instances[i], level)
+            n1, _, _, spare = scheme(instances[i], level)
+            allowed = spare * 3 // 5
+            out[i].append((mixed(sigs[~empty], 20 + level), n1 - allowed if n1 > 1 else 0))
+            lacking = int(empty.reshape(-1, scheme(instances[i], level)[1]).any(1).sum()) if i in signed else int(empty.any())
+            if lacking > allowed:
+                elements[i] = sets[i]
+                again.append(i)
+                if level == LEVELS - 1:
+                    out[i].append((mixed(sigs[empty], 40), 0))
+        todo = again
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    return [
+        (np.concatenate([x for x, _ in o]), np.repeat(np.array([n for _, n in o], np.int32), [len(x) for x, _ in o])) if o else nothing
+        for o in out
+    ]
 
 
 def _set_ids(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -300,13 +313,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sizes = sets.where("doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
     sizes = common.stage(sizes, "ngram-sizes")
 
-    def pairs_of(df: DataFrame, *keys: str) -> DataFrame:
-        """Pairs of classes of sizes that may link, with the number of buckets in which they met."""
-        df = by_rep(df.groupBy("a", "b", *keys).agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
-        df = df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *keys).agg(F.sum("n").alias("n"))
+    def pairs_of(df: DataFrame) -> DataFrame:
+        """Pairs of classes that met as often as classes of their sizes that link must, with the number of buckets."""
+        df = by_rep(df.groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
+        df = df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "need").agg(F.sum("n").alias("n"))
+        # Each two elements that differ take one part at most from those in which the sets must meet.
+        enough = F.greatest(F.lit(1), F.col("need") - F.expr(f"(ma + mb) * {100 - PERCENT} div {100 + PERCENT} div 2"))
         of = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n_least").alias(f"l{c}"), F.col("n_most").alias(f"m{c}"))
         fits = (F.col("ma") * 100 >= F.col("lb") * PERCENT) & (F.col("mb") * 100 >= F.col("la") * PERCENT)
-        return df.join(of("a"), "a").join(of("b"), "b").where(fits).select("a", "b", *keys, "n")
+        return df.join(of("a"), "a").join(of("b"), "b").where(fits & (F.col("n") >= enough)).select("a", "b", "n")
 
     def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
         """Pairs whose classes aren't in one component yet."""
@@ -314,10 +329,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         placed = pairs.join(c("b"), "b", "left").join(c("a"), "a", "left")
         return placed.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(*pairs.columns)
 
-    pairs = pairs_of(met.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
-    pairs = common.stage(pairs, "ngram-pairs")
+    pairs = pairs_of(met.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), "need"))
+    # Pairs with the smallest document of a bucket are verified first: each class with the one
+    # it met most, then the pairs that are still in different components.
+    pairs = common.stage(pairs.groupBy("a", "b").agg(F.max("n").alias("n")), "ngram-pairs")
     class_edges = rep_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    # First each class with the one it met most; then what is still in different components.
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
     judged = common.stage(_verify(best, known), "ngram-judged")
     links = judged.where("linked").select("a", "b").union(class_edges)
@@ -326,22 +342,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = common.stage(_verify(common.stage(rest, "ngram-rest"), known), "ngram-judged")
     links = links.union(rest.where("linked").select("a", "b"))
     found = common.stage(components(links), "ngram-found")
-    failed = judged.union(rest).where("not linked")
-    # In a bucket where none failed all are linked to the smallest. In the others, all pairs of
-    # different components are left.
-    suspects = failed.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    suspects = suspects.select(F.col("rep").alias("doc_id")).union(rep_of.join(suspects, "rep").select("doc_id")).distinct()
-    big = met.where("held > 2").select("sig", "doc_id", "need")
-    sigs = big.join(suspects, "doc_id", "left_semi").select("sig").distinct()
-    placed = big.join(sigs, "sig", "left_semi").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = common.stage(placed.select("sig", "doc_id", "need", F.coalesce("component", "doc_id").alias("c")), "ngram-placed")
+    tried = judged.union(rest).select("a", "b")
+    # Buckets that still hold several components: their pairs across components may link too.
+    placed = by_rep(met.where("held > 2").select("sig", "need", "doc_id"), "doc_id").distinct()
+    placed = placed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = placed.select("sig", "need", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    placed = common.stage(placed, "ngram-placed")
     split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
     placed = common.stage(placed.join(split, "sig", "left_semi"), "ngram-split")
     other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
     crossing = placed.select("sig", "need", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
-    tried = failed.select("a", "b")
-    # Sets that link meet in ``need`` buckets of an instance, so fewer are chance.
-    more = pairs_of(crossing.select("a", "b", "need"), "need").where("n >= need").select("a", "b").distinct()
+    more = pairs_of(crossing.select("a", "b", "need")).select("a", "b").distinct()
     more = more.join(tried, ["a", "b"], "left_anti")
     more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
     if not more.where("linked").isEmpty():
