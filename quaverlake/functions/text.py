@@ -108,7 +108,7 @@ def truncate_utf8(text: Column, limit: int) -> Column:
     """The longest prefix of at most ``limit`` bytes; never cuts a character."""
     cut = F.substring(text.cast("binary"), 1, limit)
     # A cut character leaves a replacement mark at the end, which is dropped.
-    shown = F.decode(cut, "UTF-8")
+    shown = F.make_valid_utf8(cut.cast("string"))
     return F.when(F.octet_length(text) <= limit, text).otherwise(F.regexp_replace(shown, "\\x{FFFD}+$", ""))
 
 
