@@ -20,8 +20,6 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 #: Limits of an estimated prior's strength, in pages.
 K_MIN, K_MAX = 1.0, 10000.0
 
-_REST = "substring(url, instr(url, '://') + 3)"
-
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """(host, path); both empty where the url is null or has no ``://``."""
@@ -44,15 +42,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _clamped(good_pairs: Column, pairs: Column, p: Column) -> Column:
-    """The prior's strength from the pairs of bad pages within the groups of a level."""
-    rho = (good_pairs / pairs - p * p) / (p * (F.lit(1.0) - p))
-    k = (F.lit(1.0) - rho) / rho
-    return (
-        F.when((pairs <= 0) | (p <= 0) | (p >= 1), F.lit(K_MAX))
-        .when(rho <= 0, F.lit(K_MAX))
-        .otherwise(F.least(F.greatest(k, F.lit(K_MIN)), F.lit(K_MAX)))
-    )
+def _strength(bad_pairs: float, pairs: float, p: float) -> float:
+    """A prior's pages from the ordered pairs of pages within the groups of a level, and of bad pages."""
+    if pairs <= 0 or not 0 < p < 1:
+        return K_MAX
+    rho = (bad_pairs / pairs - p * p) / (p * (1.0 - p))
+    return K_MAX if rho <= 0 else min(max((1.0 - rho) / rho, K_MIN), K_MAX)
 
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -72,34 +67,23 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     def level(keys: list[str], tag: str) -> DataFrame:
         return counts.groupBy(*keys).agg(F.sum("n").alias(f"n_{tag}"), F.sum("b").alias(f"b_{tag}"))
 
-    def sums(df: DataFrame, n: str, b: str, tag: str) -> DataFrame:
-        x, y = F.col(n).cast("double"), F.col(b).cast("double")
-        return df.agg(
-            F.sum(x * (x - 1)).alias(f"pairs_{tag}"), F.sum(y * (y - 1)).alias(f"bad_pairs_{tag}")
-        )
-
     domains, suffixes = level(["suffix", "domain"], "d"), level(["suffix"], "s")
-    total = (
-        counts.agg(F.sum("n").alias("n_all"), F.sum("b").alias("b_all"))
-        .crossJoin(sums(counts, "n", "b", "h"))  # one row each
-        .crossJoin(sums(domains, "n_d", "b_d", "d"))
-        .crossJoin(sums(suffixes, "n_s", "b_s", "s"))
-    )
-    p = F.when(F.col("n_all") > 0, F.col("b_all") / F.col("n_all")).otherwise(F.lit(0.0))
-    total = total.select(
-        ((F.col("b_all") + 1.0) / (F.col("n_all") + 2.0)).alias("p_all"),
-        *(_clamped(F.col(f"bad_pairs_{t}"), F.col(f"pairs_{t}"), p).alias(f"k_{t}") for t in "hds"),
-    )
-    out = (
-        counts.join(domains, ["suffix", "domain"])
-        .join(suffixes, "suffix")
-        .crossJoin(F.broadcast(total))  # one row
-    )
-    p_s = (F.col("b_s") + F.col("k_s") * F.col("p_all")) / (F.col("n_s") + F.col("k_s"))
-    p_d = (F.col("b_d") + F.col("k_d") * F.col("p_s")) / (F.col("n_d") + F.col("k_d"))
+    # One row of sums; they become literals, so nothing is joined for them.
+    n, b = counts.agg(F.sum("n"), F.sum("b")).first()
+    n, b = float(n or 0), float(b or 0)
+    p = b / n if n else 0.0
+    k = {}
+    for tag, df, x, y in (("h", counts, "n", "b"), ("d", domains, "n_d", "b_d"), ("s", suffixes, "n_s", "b_s")):
+        x, y = F.col(x).cast("double"), F.col(y).cast("double")
+        pairs, bad = df.agg(F.sum(x * (x - 1)), F.sum(y * (y - 1))).first()
+        k[tag] = F.lit(_strength(bad or 0.0, pairs or 0.0, p))
+    p_all = F.lit((b + 1.0) / (n + 2.0))
+    out = counts.join(domains, ["suffix", "domain"]).join(suffixes, "suffix")
+    p_s = (F.col("b_s") + k["s"] * p_all) / (F.col("n_s") + k["s"])
+    p_d = (F.col("b_d") + k["d"] * F.col("p_s")) / (F.col("n_d") + k["d"])
     out = out.withColumn("p_s", p_s).withColumn("p_d", p_d)
-    out = out.withColumn("a", F.col("b") + F.col("k_h") * F.col("p_d")).withColumn(
-        "t", F.col("n") + F.col("k_h")
+    out = out.withColumn("a", F.col("b") + k["h"] * F.col("p_d")).withColumn(
+        "t", F.col("n") + k["h"]
     )
     mean = F.col("a") / F.col("t")
     sd = F.sqrt(mean * (F.lit(1.0) - mean) / (F.col("t") + F.lit(1.0)))
