@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from . import common
 from .tokens import runs, window_hashes, words_of
 
-#: 1 selects a token, 0 ignores it. Any two substitutions in 16 tokens leave one mask whole somewhere.
-MASKS = ("11111111", "110110010111", "1110100110011", "10011010111001")
+#: 1 selects a token, 0 ignores it. Any two substitutions in 13 tokens leave one mask whole somewhere.
+MASKS = ("1111111", "101010011101", "111101011", "11100110101")
 OFFSETS = tuple(tuple(k for k, c in enumerate(m) if c == "1") for m in MASKS)
 SPAN = max(map(len, MASKS))
 #: Items of fewer tokens than MIN_ITEM are too common to be told from chance and match nothing.
