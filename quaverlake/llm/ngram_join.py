@@ -230,15 +230,7 @@ def _common_shingles(docs: DataFrame, sets: DataFrame) -> np.ndarray:
     """Shingles that many dissimilar documents have, such as those of boilerplate lines."""
     few = sets.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id")).orderBy(F.xxhash64("a")).limit(SAMPLE)
 
-    def exploded(batches):
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for run, found in _shingled(batch):
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": np.repeat(np.array(ids[run], np.int64), [len(s) for s in found]), "h": np.concatenate(found).view(np.int64)}
-                )
-
-    chosen = docs.join(F.broadcast(few.select("doc_id")), "doc_id").mapInArrow(exploded, "doc_id long, h long")
+    chosen = docs.join(F.broadcast(few.select("doc_id")), "doc_id").mapInArrow(_exploded, "doc_id long, h long")
     chosen = common.stage(chosen, "ngram-sample")
     often = chosen.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     # Documents most of whose shingles are common are near copies of each other: theirs don't count.
@@ -249,6 +241,28 @@ def _common_shingles(docs: DataFrame, sets: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
+def _exploded(batches):
+    """(doc_id, h): the shingles of texts."""
+    for batch in batches:
+        ids = batch.column("doc_id").to_pylist()
+        for run, found in _shingled(batch):
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": np.repeat(np.array(ids[run], np.int64), [len(s) for s in found]), "h": np.concatenate(found).view(np.int64)}
+            )
+
+
+def _own_shingles(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, own, size) of some documents: how many of its shingles none of the others has.
+
+    Counted before the shuffle where copies meet; the rows are those documents' shingles.
+    """
+    texts = common.rows_with_ids(docs.select("doc_id", "text"), "doc_id", members).join(members, "doc_id", "left_semi")
+    words = texts.mapInArrow(_exploded, "doc_id long, h long").groupBy("h")
+    held = words.agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    own = held.where("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    return common.stage(own, "ngram-own")
+
+
 def _verified(batches):
     """Pairs (a, b) with their texts -> (a, b, linked)."""
     last, held = None, np.zeros(0, np.uint64)
@@ -309,6 +323,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     bucket = W.partitionBy("sig")
     met = signed.withColumn("hub", F.min("doc_id").over(bucket)).withColumn("held", F.count(F.lit(1)).over(bucket))
     met = common.stage(met.where("held > 1"), "ngram-met")
+    del signed
+    common.release(docs.sparkSession)
 
     sizes = sets.where("doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
     sizes = common.stage(sizes, "ngram-sizes")
@@ -350,8 +366,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     placed = common.stage(placed, "ngram-placed")
     split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
     placed = common.stage(placed.join(split, "sig", "left_semi"), "ngram-split")
-    other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    crossing = placed.select("sig", "need", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(other, "sig").where("ca < cb")
+    # Shingles that a document has alone among these bound its similarity to any other: most
+    # edited copies have too many to link, and pairs have if both have some.
+    members = placed.select("doc_id").distinct()
+    one_text = sizes.where("n_least = n_most")  # the bound is one text's
+    own = _own_shingles(members, known).join(one_text, "doc_id").select("doc_id", "own", F.col("n_most").alias("size"))
+    placed = placed.join(own, "doc_id", "left").withColumns({"own": F.coalesce("own", F.lit(0)), "size": F.coalesce("size", F.lit(0))})
+    placed = placed.where((F.col("own") == 0) | ((F.col("size") - F.col("own")) * 100 >= F.col("size") * PERCENT))
+    placed = common.stage(placed, "ngram-able")
+    other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("own").alias("own_b"), F.col("size").alias("size_b"))
+    crossing = placed.select("sig", "need", F.col("doc_id").alias("a"), F.col("c").alias("ca"), "own", "size").join(other, "sig").where("ca < cb")
+    most = F.least(F.col("size") - F.col("own"), F.col("size_b") - F.col("own_b"))
+    union = F.greatest(F.col("size") + F.col("own_b"), F.col("size_b") + F.col("own"))
+    crossing = crossing.where((F.col("size") == 0) | (F.col("size_b") == 0) | (most * 100 >= union * PERCENT))
     more = pairs_of(crossing.select("a", "b", "need")).select("a", "b").distinct()
     more = more.join(tried, ["a", "b"], "left_anti")
     more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
