@@ -23,7 +23,9 @@ PASSAGE = 64
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 4000
 #: Texts are encoded in runs of about so many bytes, which bounds a worker's memory.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 19
+#: Rows of an Arrow batch whose texts are held as Python strings at a time.
+ROWS = 512
 
 #: Byte classes: each character below has one; letters, digits and the rest follow.
 _SIGNS = " \n\t.,;:!?|#$%&*<>{}[]()\"'-_/\\@=+~^`"
@@ -156,8 +158,14 @@ def _runs(sizes: list[int]):
         yield slice(begin, len(sizes))
 
 
-def _encoded(batches):
+def _slices(batches):
     for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
+
+
+def _encoded(batches):
+    for batch in _slices(batches):
         texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
         for run in _runs([len(t) + 1 for t in texts]):
             yield run, batch, texts[run]
@@ -241,7 +249,7 @@ def keep_good(spark, docs, sf_dir):
     model = fit(*sample_bags(docs, labels, "quality", SAMPLE))
 
     def chosen(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             keep = np.zeros(len(texts), bool)
             for run in _runs([len(t) + 1 for t in texts]):

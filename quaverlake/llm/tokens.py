@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Texts are hashed in runs of about so many bytes, which bounds a worker's memory.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64)
