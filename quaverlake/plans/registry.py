@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import aggregates, checks, joins, ordered, scalars, search, sets  # noqa: E402, F401
+from . import aggregates, checks, joins, merges, ordered, scalars, search, sets  # noqa: E402, F401

@@ -50,10 +50,10 @@ def canonical_digest(spark, d):
     return table(spark, d, "region").select("r_regionkey", F.sha2(whole, 256).alias("digest"), F.md5("r_name").alias("short"))
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.page') AS page, json_extract_string(props, '$.missing.deep') AS missing FROM events""")
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.missing.deep') AS missing FROM events""")
 def json_path(spark, d):
     v = F.try_parse_json("props")
-    return table(spark, d, "events").select("event_id", F.try_variant_get(v, "$.page", "string").alias("page"), F.try_variant_get(v, "$.missing.deep", "string").alias("missing"))
+    return table(spark, d, "events").select("event_id", F.try_variant_get(v, "$.k", "string").alias("k"), F.try_variant_get(v, "$.missing.deep", "string").alias("missing"))
 
 
 @query("""SELECT p_partkey, (p_size / gcd(p_size, 48))::BIGINT AS num, (48 / gcd(p_size, 48))::BIGINT AS den FROM part""")
