@@ -173,6 +173,6 @@ FROM d
 
 
 def keep_distinct(spark, docs, sf_dir):
-    """Pipeline stage: the rows of ``docs`` that stay."""
-    stay = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline stage: the rows of ``docs`` that stay; those without a doc_id do."""
+    gone = exact_dedup(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

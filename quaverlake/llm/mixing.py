@@ -122,7 +122,12 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken.
+    """``mix_rows`` without the source."""
+    return mix_rows(docs, weights, share, seed).drop("source")
+
+
+def mix_rows(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken.
 
     ``taken`` is 0, 1 or 2 times the document's size. A null text has no words; a null
     source is one source, last in order. Rows that repeat a doc_id are chosen each on
@@ -148,7 +153,6 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> D
             {"source": pdf.source, "size": pdf["size"], "source_size": size, "target": goal, "base": whole, "extra": take}
         )
 
-    same = lambda a, b, *c: [a[x].eqNullSafe(b[x]) for x in c]
     g = goals.withColumnRenamed("source", "s")
     plan = lengths.join(g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     plan = plan.groupBy("source").applyInPandas(
@@ -175,6 +179,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> D
     times = F.col("q_p_base") + F.when(F.col("rank") <= F.col("q_quota"), 1).otherwise(0)
     return out.select(
         "doc_id",
+        "source",
         "size",
         F.col("q_p_source_size").alias("source_size"),
         F.col("q_p_target").alias("target"),
@@ -187,6 +192,14 @@ def op7_mix(spark, sf_dir):
 
 
 def mixed(spark, docs, sf_dir):
-    """Pipeline stage, the last: the documents of the mix with their size and the words taken."""
-    taken = mix(docs).where("taken > 0")
-    return docs.join(taken, "doc_id")
+    """Pipeline stage, the last: the documents of the mix with size, source_size, target and taken.
+
+    Rows of equal doc_id, source and size are taken alike, as often as the first of them.
+    """
+    keys = ["doc_id", "source", "size"]
+    taken = mix_rows(docs).where("taken > 0").groupBy(*keys)
+    taken = taken.agg(*(F.max(c).alias(c) for c in ("source_size", "target", "taken")))
+    t = taken.select(*(F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in taken.columns))
+    rows = docs.withColumn("size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"))
+    same = [rows[c].eqNullSafe(t[f"_{c}"]) for c in keys]
+    return rows.join(t, same[0] & same[1] & same[2]).drop(*(f"_{c}" for c in keys))

@@ -395,9 +395,9 @@ def op3_ngram_join(spark, sf_dir):
 
 
 def keep_one(spark, docs, sf_dir):
-    """Pipeline stage: of each component the document with the smallest doc_id."""
-    stay = jaccard_components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(stay.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline stage: of each component the document with the smallest doc_id; rows without a doc_id stay."""
+    gone = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 OP3_SQL = r"""
