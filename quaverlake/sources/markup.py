@@ -24,7 +24,7 @@ def file_chunks(wikitext: str) -> Iterator[tuple[list[str], str]]:
             level = len(m[1])
             stack = [s for s in stack if s[0] < level] + [(level, m[2])]
             at = line_end + 1
-        elif wikitext.startswith("{{", at) and wikitext[at + 2 :].lstrip().lower().startswith(("file", "#fte:imslpfile")):
+        elif wikitext.startswith("{{", at) and wikitext[at + 2 :].lstrip().lower().startswith(("file", "#fte:")):
             depth, end = 0, at
             while end < len(wikitext):
                 if wikitext.startswith("{{", end):
