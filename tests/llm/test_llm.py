@@ -419,6 +419,22 @@ def test_fuzzy_passages(spark):
     assert chaining.fuzzy_passages(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 12])
+def test_passages_of_lines_that_smaller_documents_have(spark, copies):
+    texts, want, n = [], {}, 0
+    for t in range(30):
+        lines = [prose(1000 + 10 * t + k, 20, 10**6) for k in range(3)]
+        for k, line in enumerate(lines):
+            for c in range(copies):
+                texts.append((n := n + 1, prose(f"{t} {k} {c}", 30, 10**6) + " " + line + " " + prose(f"{t} {k} {c} b", 30, 10**6)))
+        for side in "ab":
+            doc = 10**6 + 10 * t + ord(side)
+            texts.append((doc, prose(f"{t}{side}", 50, 10**6) + " " + " ".join(lines) + " " + prose(f"{t}{side}c", 50, 10**6)))
+            want[doc] = (50, 110)
+    got = {r.doc_id: (r.start_word, r.end_word) for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    assert {d: got.get(d) for d in want} == want
+
+
 # quality
 
 
