@@ -4,7 +4,7 @@ Fixed masks select token positions of a window and ignore the others, so a seed
 matches when ignored tokens were substituted. The seeds of all benchmark items are
 joined with those of the documents; a bitmap of the benchmark's seeds (fixed size)
 sorts out nearly all document seeds at the scan. Around each hit the two token
-sequences are compared along their diagonal and the best-scoring stretch is kept.
+sequences are compared along their diagonal and the longest stretch that is similar enough is kept.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ MIN_ITEM = 6
 CONTEXT = 96
 #: An overlap counts with so many tokens (or the whole item, if shorter) and this share of equal ones.
 MIN_OVERLAP, MIN_SHARE = 13, 0.8
+#: The share in whole numbers, so that stretches of just that share are exact.
+_TENTHS, _NEEDED = 10, round(MIN_SHARE * 10)
 #: The bitmap of the benchmark's seeds: 4 MB, whatever the benchmark.
 BITMAP_BITS = 25
 
@@ -83,14 +85,33 @@ def _item_rows(batches):
         )
 
 
-def _stretch(same: np.ndarray, at: int) -> tuple[int, int, int]:
-    """Best-scoring stretch (from, to, equal) through ``at``: 1 for equal tokens, -2 for others."""
-    score = np.where(same, 1, -2)
-    right = np.cumsum(score[at:])
-    left = np.cumsum(score[:at][::-1])
-    end = at + int(right.argmax()) + 1
-    begin = at - (int(left.argmax()) + 1 if len(left) and left.max() > 0 else 0)
-    return begin, end, int(same[begin:end].sum())
+def _stretches(same: np.ndarray, ats: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(from, to, equal) of the longest stretch through each place: ``least`` tokens or more, MIN_SHARE of them equal.
+
+    One that begins or ends with other tokens is cut to its equal ones where ``least``
+    allows it. Places without a stretch have none.
+    """
+    n, out = len(same), set()
+    if n < least:
+        return []
+    total = np.concatenate([[0], np.cumsum(same)])
+    level = _TENTHS * total - _NEEDED * np.arange(n + 1)  # a stretch counts if it doesn't fall
+    for at in ats:
+        # The lowest levels up to the place, and the last end behind it that is as high.
+        low = np.minimum.accumulate(level[: at + 1])
+        begins = np.flatnonzero(np.concatenate([[True], low[1:] < low[:-1]]))
+        high = np.maximum.accumulate(level[at + 1 :][::-1])[::-1]
+        ends = at + np.searchsorted(-high, -level[begins], side="right")
+        k = int(np.where(ends > at, ends - begins, 0).argmax())
+        b, e = int(begins[k]), int(ends[k])
+        if e <= at or e - b < least:
+            continue
+        while e - b > least and e - 1 > at and not same[e - 1]:
+            e -= 1
+        while e - b > least and b < at and not same[b]:
+            b += 1
+        out.add((b, e, int(total[e] - total[b])))
+    return sorted(out)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -174,13 +195,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 lo = max(r["start"], r["shift"])
                 hi = min(r["start"] + len(doc), r["shift"] + len(item))
                 same = doc[lo - r["start"] : hi - r["start"]] == item[lo - r["shift"] : hi - r["shift"]]
-                for at in sorted(r["ats"]):
-                    if not lo <= at < hi:
-                        continue
-                    b, e, equal = _stretch(same, at - lo)
-                    if e - b >= min(MIN_OVERLAP, len(item)) and equal >= MIN_SHARE * (e - b):
-                        for k, v in zip(out, (r["doc_id"], r["item_id"], b + lo, e + lo, e - b, equal)):
-                            out[k].append(v)
+                ats = [at - lo for at in sorted(r["ats"]) if lo <= at < hi]
+                for b, e, equal in _stretches(same, ats, min(MIN_OVERLAP, len(item))):
+                    for k, v in zip(out, (r["doc_id"], r["item_id"], b + lo, e + lo, e - b, equal)):
+                        out[k].append(v)
             yield pa.RecordBatch.from_pydict(
                 out, schema=pa.schema([(k, pa.int64() if k.endswith("_id") else pa.int32()) for k in out])
             )

@@ -208,6 +208,38 @@ def turns(spark, data):
     return df.withColumn("tokens", F.lit("x")).withColumn("own", F.lit("x")).withColumn("last", F.lit(1))
 
 
+def test_stretches_match_brute_force():
+    rng = random.Random(21)
+    for _ in range(1500):
+        n = rng.randrange(13, 61)
+        same = np.array([rng.random() < rng.choice([0.6, 0.75, 0.85]) for _ in range(n)])
+        at, least = rng.randrange(n), rng.choice([6, 13])
+        fits = [(b, e) for b in range(at + 1) for e in range(at + 1, n + 1) if e - b >= least and 10 * same[b:e].sum() >= 8 * (e - b)]
+        got = decontaminate._stretches(same, [at], least)
+        assert bool(got) == bool(fits)
+        for b, e, equal in got:
+            assert b <= at < e and e - b >= least and 10 * equal >= 8 * (e - b) and equal == same[b:e].sum()
+            assert equal in {same[x:y].sum() for x, y in fits if y - x == max(v - u for u, v in fits)}
+
+
+def test_overlaps_beside_worse_material(spark):
+    rng = random.Random(22)
+    items, texts = [], []
+    for k, (n, subs) in enumerate([(15, 3), (20, 4), (38, 7), (58, 11)] * 5):
+        words = prose(500 + k, n, 10**6).split()
+        other = list(words)
+        for at in [n - 1, *rng.sample(range(8, n - 1), subs - 1)]:  # seven equal ones first, so that a mask fits
+            other[at] = "other"
+        items.append((k, " ".join(words)))
+        texts.append((k, "before " + " ".join(other) + " behind"))
+    core, rest = prose(600, 16, 10**6).split(), prose(601, 40, 10**6).split()
+    items.append((99, " ".join(core + rest)))
+    texts.append((99, " ".join(core + [w if k % 4 else "x" for k, w in enumerate(rest)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = rows(decontaminate.overlaps(frame(spark, texts), bench), "doc_id", "item_id")
+    assert got == sorted([(k, k) for k, _ in items], key=repr)
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(3)
     nasty = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "\\s", "<\\s>", "\n", " ", "é", "[[/INST]", "</s", "word ", "\\\\[INST]", "$1"]
