@@ -467,6 +467,37 @@ def test_passages_of_lines_that_smaller_documents_have(spark, copies):
     assert {d: got.get(d) for d in want} == want
 
 
+def test_good_parts_cover_all_similar_stretches():
+    rng = random.Random(31)
+    for _ in range(300):
+        at, x, y = [], 0, 0
+        for _ in range(rng.randrange(10, 90)):
+            if rng.random() < 0.3:
+                x, y = x + rng.randrange(6), y + rng.randrange(6)
+            at.append((x, y))
+            x, y = x + 1, y + 1
+        at = np.array(at).T
+        fits = [(p, q) for p in range(at.shape[1]) for q in range(p, at.shape[1])
+                if min(at[:, q] - at[:, p]) + 1 >= chaining.CHAIN and 10 * (q - p + 1) >= 8 * (max(at[:, q] - at[:, p]) + 1)]
+        got = chaining.good_parts(at)
+        assert set(got) <= set(fits)
+        assert {k for p, q in got for k in range(p, q + 1)} == {k for p, q in fits for k in range(p, q + 1)}
+
+
+def test_passages_beside_private_words(spark):
+    texts = []
+    for t in range(24):
+        one, two = prose(f"{t} one", 50, 10**6), prose(f"{t} two", 50, 10**6)
+        for side in (0, 1):
+            texts.append((2 * t + side, f"{one} {prose(f'{t} {side}', 26 + t % 3 * 4, 10**6)} {two}"))
+    got = {(r.doc_id, r.start_word, r.end_word) for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    for t in range(24):
+        gap = 26 + t % 3 * 4
+        for doc in (2 * t, 2 * t + 1):
+            assert any(d == doc and a <= 0 and b >= 50 for d, a, b in got)
+            assert any(d == doc and a <= 50 + gap and b >= 100 + gap for d, a, b in got)
+
+
 # quality
 
 
