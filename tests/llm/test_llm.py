@@ -498,6 +498,15 @@ def test_passages_beside_private_words(spark):
             assert any(d == doc and a <= 50 + gap and b >= 100 + gap for d, a, b in got)
 
 
+@pytest.mark.parametrize("more", [0, 9])
+def test_passages_that_the_first_document_repeats(spark, more):
+    p = prose("repeated", 60, 10**6)
+    texts = [(1, f"{p} {prose('between', 440, 10**6)} {p}")]
+    texts += [(k, f"{prose(f'before {k}', 40, 10**6)} {p} {prose(f'behind {k}', 40, 10**6)}") for k in range(2, 3 + more)]
+    got = {(r.doc_id, r.start_word, r.end_word) for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    assert got == {(1, 0, 60), (1, 500, 560), *((k, 40, 100) for k in range(2, 3 + more))}
+
+
 # quality
 
 
