@@ -39,10 +39,27 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs no work of earlier stages.
     """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).stage(df, tag)
+
+
+class Scratch:
+    """Tables staged on the way to a result; those that it doesn't read are dropped by their tags."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stage(self, df: DataFrame, tag: str) -> DataFrame:
+        path = new_path(self.spark, tag)
+        df.write.parquet(path)
+        self.paths.setdefault(tag, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tags: str) -> None:
+        """Deletes the tables of these tags and lets go of the shuffles that made them."""
+        for tag in tags:
+            for path in self.paths.pop(tag, []):
+                drop_path(self.spark, path)
+        release(self.spark)
 
 
 def release(spark: SparkSession) -> None:
@@ -68,12 +85,8 @@ def lower_ascii(text: Column) -> Column:
 FILTER_BITS = 24
 
 
-def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may be among ``ids`` (one column); few others remain.
-
-    A filter before a join: it keeps the texts of other rows out of the shuffle. With
-    more ids than bits it lets all rows pass, which the join bears.
-    """
+def _flagged(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` joined with a bitmap of ``ids`` (one column), and whether a row's ``column`` may be among them."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS)) + 1
     bits = ids.select(bit(ids.columns[0]).alias("_bit")).distinct()
     bitmap = bits.groupBy(F.expr("bitmap_bucket_number(_bit)").alias("_bucket")).agg(
@@ -81,6 +94,24 @@ def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     )
     at = "cast(bitmap_bit_position(_bit) as int)"
     is_set = F.expr(f"(shiftright(cast(conv(hex(substring(_bits, {at} div 8 + 1, 1)), 16, 10) as int), {at} % 8) & 1) = 1")
-    columns = df.columns
     df = df.withColumn("_bit", bit(column)).withColumn("_bucket", F.expr("bitmap_bucket_number(_bit)"))
-    return df.join(F.broadcast(bitmap), "_bucket").where(is_set).select(*columns)
+    return df.join(F.broadcast(bitmap), "_bucket", "left"), F.coalesce(is_set, F.lit(False))
+
+
+def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``ids`` (one column); few others remain.
+
+    A filter before a join: it keeps the texts of other rows out of the shuffle. With
+    more ids than bits it lets all rows pass, which the join bears.
+    """
+    flagged, may = _flagged(df, column, ids)
+    return flagged.where(may).select(*df.columns)
+
+
+def rows_without_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` isn't among ``ids``: only those that may be are joined with them."""
+    flagged, may = _flagged(df, column, ids)
+    named = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
+    doubtful = rows_with_ids(df, column, ids)
+    doubtful = doubtful.join(named, doubtful[column] == named["_id"], "left_anti")
+    return flagged.where(~may).select(*df.columns).unionByName(doubtful)

@@ -13,27 +13,29 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
 
     Every round rewires edges to the smallest neighbour; the number of rounds grows with
     the logarithm of the nodes. Each round is written to the shared folder, so a lost
-    executor costs that round only. No group is gathered in one task: a node's smallest
+    executor costs that round only, and the round before is deleted. No group is gathered in one task: a node's smallest
     neighbour is an aggregate, and joins of a popular node can be split.
     """
-    spark = edges.sparkSession
+    work = common.Scratch(edges.sparkSession)
+    state = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = common.stage(edges, tag)
+    edges, before, last = work.stage(edges, f"{tag}-0"), None, 0
     while True:
+        now = state(edges)
+        if now == before:
+            break
+        before = now
         # Large star: every larger neighbour of u points to the smallest neighbour of u (or u).
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = common.stage(large, tag)
+        large = work.stage(large, f"{tag}-large")
         # Small star: u and its smaller neighbours point to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        small = common.stage(small.distinct(), tag)
-        state = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state(small) == state(edges):
-            break
-        edges = small
+        edges, last = work.stage(small.distinct(), f"{tag}-{last + 1}"), last + 1
+        work.drop(f"{tag}-{last - 1}", f"{tag}-large")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -12,10 +12,14 @@ that are close enough share one. A signature of no elements says nothing; ``spar
 parts make up for those, and sets with too many of them sign in further namespaces (see
 ``signatures``). So no link is lost.
 
-Within a bucket of equal signatures pairs with its smallest document are verified (on
-the exact sets), first the pair that met most. Where some fail, pairs across different
-components of such a bucket are verified too, if they met as often as sets that link
-must. Equal sets are one class from the start.
+Equal sets are one class from the start, for which one document searches. A set more
+than a fifth of whose shingles no other class has can't link with any (the others are
+less than 0.8 of it alone), so only the rest sign. Within a bucket of equal signatures
+the smallest document is the hub; each document is verified with the hub it met most,
+and where a bucket still holds several components, its documents are compared in full:
+those of a cluster of such buckets are dealt to blocks of bounded size, and each two
+blocks that share a bucket are compared in one task that returns a forest of links. No
+pair of documents becomes a row, however large a group of near copies is.
 """
 
 from __future__ import annotations
@@ -26,11 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from . import common
 from .components import components
-from .tokens import mixed, runs, window_hashes, words_of
+from .tokens import mixed, text_runs, window_hashes, words_of
 
 WORDS = 5
 #: Similar: PERCENT_OF_UNION of the union is shared.
@@ -53,9 +56,8 @@ def shingles(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
 
 def _shingled(batch):
     """(slice, shingle sets) by runs of the batch's texts."""
-    texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-    for run in runs([len(t) + 1 for t in texts]):
-        yield run, shingles(texts[run])
+    for run, texts in text_runs(batch):
+        yield run, shingles(texts)
 
 
 def bands(limit: int) -> list[tuple[int, int]]:
@@ -192,28 +194,127 @@ def _sets(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "n": n, "a": a, "b": b})
 
 
+#: Entries of the shingle count in one task's group, about.
+PART = 1 << 22
+#: Place of a shingle that several documents of a run have.
+SHARED = 0xFFFF
+
+
+def _dealer(parts: int):
+    """A map of documents to (part, run, head, body): their shingles by ranges of the hash, a run of texts at a time.
+
+    A body has 32 bits of each shingle's hash beyond its part and the document's place
+    in the run; a shingle leaves a run once, however many documents have it. The head
+    has the run's doc_ids and set sizes.
+    """
+    bits = parts.bit_length() - 1
+
+    def dealt(batches):
+        for batch in batches:
+            for run, found in _shingled(batch):
+                ids = batch.column("doc_id").slice(run.start, run.stop - run.start).to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = np.array([len(s) for s in found], np.int64)
+                if not sizes.sum():
+                    continue
+                flat, place = np.concatenate(found), np.repeat(np.arange(len(found), dtype=np.uint16), sizes)
+                order = np.argsort(flat)
+                flat, place = flat[order], place[order]
+                new = np.concatenate([[True], flat[1:] != flat[:-1]])
+                alone = new & np.concatenate([new[1:], [True]])
+                place = np.where(alone, place, np.uint16(SHARED))[new]
+                flat = flat[new]
+                part = (flat >> np.uint64(64 - bits)).astype(np.int64)
+                low = (flat >> np.uint64(32 - bits)).astype(np.uint32)
+                # The same documents give the same name, also when a lost task runs again.
+                name = int(mixed(np.array([mixed(flat).sum(), mixed(ids.view(np.uint64), 9).sum()], np.uint64)).sum().view(np.int64))
+                at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                ends = np.concatenate([at[1:], [len(part)]])
+                bodies = [low[x:y].tobytes() + place[x:y].tobytes() for x, y in zip(at.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array([*part[at].tolist(), name % parts], pa.int32()),
+                        "run": pa.array([name] * (len(at) + 1), pa.int64()),
+                        "head": pa.array([False] * len(at) + [True]),
+                        "body": pa.array([*bodies, ids.tobytes() + sizes.tobytes()], pa.binary()),
+                    }
+                )
+
+    return dealt
+
+
+_COUNTS = pa.schema([("run", pa.int64()), ("head", pa.bool_()), ("body", pa.binary())])
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """One part's shingles -> by run, how many of each document are held by no other one; heads pass."""
+    heads = table.filter(table.column("head")).select(_COUNTS.names).cast(_COUNTS)
+    table = table.filter(pa.compute.invert(table.column("head")))
+    bodies = table.column("body").to_pylist()
+    if not bodies:
+        return heads
+    n = [len(x) // 6 for x in bodies]
+    low = np.concatenate([np.frombuffer(x, np.uint32, k) for x, k in zip(bodies, n)])
+    place = np.concatenate([np.frombuffer(x, np.uint16, k, 4 * k) for x, k in zip(bodies, n)])
+    key = (low.astype(np.uint64) << np.uint64(32)) | np.arange(len(low), dtype=np.uint64)
+    key.sort()
+    new = np.concatenate([[True], key[1:] >> np.uint64(32) != key[:-1] >> np.uint64(32)])
+    own = (key[new & np.concatenate([new[1:], [True]])] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    own = own[place[own] != SHARED]
+    row = np.repeat(np.arange(len(n)), n)[own]
+    kinds, counts = np.unique((row << 16) | place[own], return_counts=True)
+    cuts = np.searchsorted(kinds >> 16, np.arange(len(n) + 1)).tolist()
+    place, counts = (kinds & 0xFFFF).astype(np.uint16), counts.astype(np.uint32)
+    bodies = [counts[x:y].tobytes() + place[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
+    runs = table.column("run").to_pylist()
+    kept = [(r, b) for r, b in zip(runs, bodies) if b]
+    out = {"run": [r for r, _ in kept], "head": [False] * len(kept), "body": [b for _, b in kept]}
+    return pa.concat_tables([heads, pa.table(out, schema=_COUNTS)])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """One run's counts -> (doc_id, n, own)."""
+    head, counts = None, []
+    for is_head, body in zip(table.column("head").to_pylist(), table.column("body").to_pylist()):
+        if is_head:
+            head = np.frombuffer(body, np.int64)
+        else:
+            counts.append(body)
+    ids, n = head[: len(head) // 2], head[len(head) // 2 :]
+    own = np.zeros(len(ids), np.int64)
+    for body in counts:
+        k = len(body) // 6
+        own[np.frombuffer(body, np.uint16, k, 4 * k)] += np.frombuffer(body, np.uint32, k)
+    return pa.table({"doc_id": ids, "n": n, "own": own})
+
+
+def _able(texts: DataFrame, shingles_in_all: int) -> DataFrame:
+    """(doc_id, n): documents so many of whose shingles others have that they may link with one.
+
+    ``own`` is never more than the truth, as truncated hashes and runs with the same
+    documents only make shingles look shared.
+    """
+    parts = 1 << max(6, (shingles_in_all // PART).bit_length())
+    dealt = texts.mapInArrow(_dealer(parts), "part int, run long, head boolean, body binary")
+    counted = dealt.groupBy("part").applyInArrow(_counted, "run long, head boolean, body binary")
+    summed = counted.groupBy("run").applyInArrow(_summed, "doc_id long, n long, own long")
+    return summed.where(f"n > 0 and (n - own) * 100 >= n * {PERCENT}").select("doc_id", "n")
+
+
 def _signer(common_ones: np.ndarray):
-    """A map of documents to (sig, doc_id, need) rows; of equal sets that one task sees, the first signs."""
+    """A map of documents to (sig, doc_id, need) rows."""
 
     def signed(batches):
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             for run, sets in _shingled(batch):
-                new, owners = [], []
-                for doc_id, s, a, b in zip(ids[run], sets, *(x.tolist() for x in _set_ids(sets))):
-                    if len(s) and (a, b) not in seen:
-                        seen.add((a, b))
-                        new.append(s)
-                        owners.append(doc_id)
-                own = np.searchsorted(_TOPS, [len(s) for s in new]) if new else []
+                owners = batch.column("doc_id").slice(run.start, run.stop - run.start).to_numpy(zero_copy_only=False)
+                own = np.searchsorted(_TOPS, [len(s) for s in sets])
                 for up in (0, 1):
-                    rows = signatures(new, [int(j) + up for j in own], common_ones)
+                    rows = signatures(sets, [int(j) + up for j in own], common_ones)
                     if sum(len(x) for x, _ in rows):
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "sig": np.concatenate([x for x, _ in rows]).view(np.int64),
-                                "doc_id": np.repeat(np.array(owners, np.int64), [len(x) for x, _ in rows]),
+                                "doc_id": np.repeat(owners.astype(np.int64), [len(x) for x, _ in rows]),
                                 "need": np.concatenate([n for _, n in rows]),
                             }
                         )
@@ -226,64 +327,121 @@ def _signer(common_ones: np.ndarray):
 SAMPLE, COMMON, MOST_COMMON = 3000, 3, 1 << 16
 
 
-def _common_shingles(docs: DataFrame, sets: DataFrame) -> np.ndarray:
+def _common_shingles(texts: DataFrame, work: common.Scratch) -> np.ndarray:
     """Shingles that many dissimilar documents have, such as those of boilerplate lines."""
-    few = sets.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id")).orderBy(F.xxhash64("a")).limit(SAMPLE)
-
-    chosen = docs.join(F.broadcast(few.select("doc_id")), "doc_id").mapInArrow(_exploded, "doc_id long, h long")
-    chosen = common.stage(chosen, "ngram-sample")
+    few = texts.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    chosen = texts.join(F.broadcast(few), "doc_id").mapInArrow(_exploded, "doc_id long, h long")
+    chosen = work.stage(chosen, "ngram-sample")
     often = chosen.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     # Documents most of whose shingles are common are near copies of each other: theirs don't count.
     shares = chosen.join(often, "h").groupBy("doc_id").agg(F.avg((F.col("df") >= COMMON).cast("int")).alias("share"))
     apart = chosen.join(shares.where("share <= 0.5"), "doc_id")
     often = apart.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= COMMON)
     rows = often.orderBy(F.desc("df"), "h").limit(MOST_COMMON).select("h").collect()
+    work.drop("ngram-sample")
     return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
 def _exploded(batches):
     """(doc_id, h): the shingles of texts."""
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
         for run, found in _shingled(batch):
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": np.repeat(np.array(ids[run], np.int64), [len(s) for s in found]), "h": np.concatenate(found).view(np.int64)}
-            )
-
-
-def _own_shingles(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, own, size) of some documents: how many of its shingles none of the others has.
-
-    Counted before the shuffle where copies meet; the rows are those documents' shingles.
-    """
-    texts = common.rows_with_ids(docs.select("doc_id", "text"), "doc_id", members).join(members, "doc_id", "left_semi")
-    words = texts.mapInArrow(_exploded, "doc_id long, h long").groupBy("h")
-    held = words.agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    own = held.where("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
-    return common.stage(own, "ngram-own")
+            ids = batch.column("doc_id").slice(run.start, run.stop - run.start).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"doc_id": np.repeat(ids, [len(s) for s in found]), "h": np.concatenate(found).view(np.int64)})
 
 
 def _verified(batches):
-    """Pairs (a, b) with their texts -> (a, b, linked)."""
+    """Pairs (a, b) with their texts -> (a, b) of those that link."""
     last, held = None, np.zeros(0, np.uint64)
     for batch in batches:
         linked = []
         for a, x, y in zip(batch.column("a").to_pylist(), batch.column("text_a"), batch.column("text_b")):
-            if last != a:
-                last, held = a, shingles([(x.as_py() or "").encode()])[0]
+            if last != (a, x):
+                last, held = (a, x), shingles([(x.as_py() or "").encode()])[0]
             t = shingles([(y.as_py() or "").encode()])[0]
             both = len(np.intersect1d(held, t, assume_unique=True))
             linked.append(100 * both >= PERCENT * (len(held) + len(t) - both) and both > 0)
-        yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_())})
+        yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(linked, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verdicts on pairs (a, b) of doc_ids; the texts of other documents are left at the scan where possible."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    texts = common.rows_with_ids(docs.select("doc_id", "text"), "doc_id", wanted)
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of doc_ids that link."""
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long, linked boolean")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long")
+
+
+#: Shingles in a block, about; and the ratio of neighbouring size bands of a cluster's blocks.
+BLOCK, BAND = 1 << 16, 1.05
+#: Bands farther apart hold no sets that can link.
+FAR = int(np.ceil(np.log(100 / PERCENT) / np.log(BAND))) + 1
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """Two blocks' documents (left, doc_id, c, text), or one's -> links between components, a forest of them."""
+    left = np.array(table.column("left").to_pylist(), bool)
+    ids, label = table.column("doc_id").to_pylist(), table.column("c").to_pylist()
+    sets = []
+    for batch in table.select(["text"]).to_batches():
+        for _, found in _shingled(batch):
+            sets += found
+    flat, size = np.concatenate(sets), np.array([len(s) for s in sets])
+    _, flat = np.unique(flat, return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    right = np.arange(len(sets)) if left.all() else np.flatnonzero(~left)
+    there = np.concatenate([flat[begin[j] : begin[j + 1]] for j in right])
+    at = np.concatenate([[0], np.cumsum(size[right])])[:-1]
+    root = {c: c for c in label}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links, here = [], np.zeros(int(flat.max()) + 1 if len(flat) else 1, np.int32)
+    for i in np.flatnonzero(left).tolist():
+        mine = flat[begin[i] : begin[i + 1]]
+        here[mine] = 1
+        both = np.add.reduceat(here[there], at)
+        here[mine] = 0
+        for j in right[100 * both >= PERCENT * (size[i] + size[right] - both)].tolist():
+            x, y = find(label[i]), find(label[j])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((ids[i], ids[j]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _blocks(live: DataFrame, sized: DataFrame, work: common.Scratch) -> tuple[DataFrame, DataFrame]:
+    """Blocks (block, doc_id, n) of the documents of ``live`` (sig, doc_id), and the tasks (task, block, left) that compare them.
+
+    Documents that share buckets, over any number of steps, are a cluster. A small one is
+    a block; a large one is dealt by size and hash, and two of its blocks are a task if
+    they share a bucket and their sizes are near enough.
+    """
+    hubs = live.groupBy("sig").agg(F.min("doc_id").alias("hub"))
+    edges = live.join(hubs, "sig").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    edges = work.stage(edges, "ngram-edges")
+    clusters = components(edges, "ngram-clusters").withColumnsRenamed({"node": "doc_id", "component": "cluster"})
+    of = work.stage(clusters.join(sized, "doc_id"), "ngram-clustered")
+    total = of.groupBy("cluster").agg(F.sum("n").alias("all"))
+    of = of.join(total, "cluster").withColumn("band", F.when(F.col("all") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log(BAND, "n"))))
+    total = of.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / BLOCK).alias("k"))
+    of = of.join(total, ["cluster", "band"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("k")))
+    blocks = of.select(F.struct("cluster", "band", "part").alias("block"), "doc_id", "n", (F.col("all") > BLOCK).alias("dealt"))
+    blocks = work.stage(blocks, "ngram-blocks")
+    alone = blocks.select("block").distinct()
+    alone = alone.select(F.struct(F.col("block").alias("p"), F.col("block").alias("q")).alias("task"))
+    held = live.join(blocks.where("dealt"), "doc_id").select("sig", "block").distinct()
+    held = work.stage(held, "ngram-held")
+    near = F.abs(F.col("p.band") - F.col("q.band")) <= FAR
+    two = held.withColumnRenamed("block", "p").join(held.withColumnRenamed("block", "q"), "sig")
+    two = two.where(near & (F.col("p") < F.col("q"))).select(F.struct("p", "q").alias("task")).distinct()
+    tasks = work.stage(alone.union(two), "ngram-tasks")
+    sides = tasks.select("task", F.col("task.p").alias("block"), F.lit(True).alias("left")).union(
+        tasks.where("task.p <> task.q").select("task", F.col("task.q").alias("block"), F.lit(False).alias("left"))
+    )
+    return blocks, sides
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -296,96 +454,61 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id are taken as one document with all their links. An empty
     table gives an empty result; other columns are ignored.
     """
+    work = common.Scratch(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = common.stage(docs.mapInArrow(_sets, "doc_id long, n long, a long, b long"), "ngram-sets")
-    known = docs.where("doc_id is not null")
-    classes = (
-        sets.where("n > 0 and doc_id is not null")
-        .groupBy("a", "b", "n")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .drop("copies")
-    )
-    classes = common.stage(classes, "ngram-classes")
-    rep_of = common.stage(
-        sets.where("n > 0 and doc_id is not null").join(classes, ["a", "b", "n"]).select("doc_id", "rep").distinct(),
-        "ngram-reps",
-    )
-
-    def by_rep(df: DataFrame, *columns: str) -> DataFrame:
-        """Replaces document ids by those of their classes."""
-        for c in columns:
-            m = rep_of.select(F.col("doc_id").alias(f"{c}_id"), F.col("rep").alias(f"{c}_rep"))
-            df = df.join(m, df[c] == m[f"{c}_id"], "left").withColumn(c, F.coalesce(f"{c}_rep", c)).drop(f"{c}_id", f"{c}_rep")
-        return df
-
-    signed = known.mapInArrow(_signer(_common_shingles(known, sets)), "sig long, doc_id long, need int")
-    bucket = W.partitionBy("sig")
-    met = signed.withColumn("hub", F.min("doc_id").over(bucket)).withColumn("held", F.count(F.lit(1)).over(bucket))
-    met = common.stage(met.where("held > 1"), "ngram-met")
-    del signed
-    common.release(docs.sparkSession)
-
-    sizes = sets.where("doc_id is not null").groupBy("doc_id").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
-    sizes = common.stage(sizes, "ngram-sizes")
-
-    def pairs_of(df: DataFrame) -> DataFrame:
-        """Pairs of classes that met as often as classes of their sizes that link must, with the number of buckets."""
-        df = by_rep(df.groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("n")), "a", "b").where("a <> b")
-        df = df.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "need").agg(F.sum("n").alias("n"))
-        # Each two elements that differ take one part at most from those in which the sets must meet.
-        enough = F.greatest(F.lit(1), F.col("need") - F.expr(f"(ma + mb) * {100 - PERCENT} div {100 + PERCENT} div 2"))
-        of = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n_least").alias(f"l{c}"), F.col("n_most").alias(f"m{c}"))
-        fits = (F.col("ma") * 100 >= F.col("lb") * PERCENT) & (F.col("mb") * 100 >= F.col("la") * PERCENT)
-        return df.join(of("a"), "a").join(of("b"), "b").where(fits & (F.col("n") >= enough)).select("a", "b", "n")
-
-    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs whose classes aren't in one component yet."""
-        c = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
-        placed = pairs.join(c("b"), "b", "left").join(c("a"), "a", "left")
-        return placed.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(*pairs.columns)
-
-    pairs = pairs_of(met.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), "need"))
-    # Pairs with the smallest document of a bucket are verified first: each class with the one
-    # it met most, then the pairs that are still in different components.
-    pairs = common.stage(pairs.groupBy("a", "b").agg(F.max("n").alias("n")), "ngram-pairs")
-    class_edges = rep_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    judged = common.stage(_verify(best, known), "ngram-judged")
-    links = judged.where("linked").select("a", "b").union(class_edges)
-    found = common.stage(components(links), "ngram-found")
-    rest = apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), found)
-    rest = common.stage(_verify(common.stage(rest, "ngram-rest"), known), "ngram-judged")
-    links = links.union(rest.where("linked").select("a", "b"))
-    found = common.stage(components(links), "ngram-found")
-    tried = judged.union(rest).select("a", "b")
-    # Buckets that still hold several components: their pairs across components may link too.
-    placed = by_rep(met.where("held > 2").select("sig", "need", "doc_id"), "doc_id").distinct()
-    placed = placed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = placed.select("sig", "need", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    placed = common.stage(placed, "ngram-placed")
+    sets = work.stage(docs.mapInArrow(_sets, "doc_id long, n long, a long, b long"), "ngram-sets")
+    known = sets.where("n > 0 and doc_id is not null")
+    classes = known.groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = known.join(classes.where("copies > 1"), ["a", "b", "n"]).where("doc_id <> rep").select("doc_id", "rep").distinct()
+    copies = work.stage(classes, "ngram-copies")
+    # Documents that only repeat another's set are linked by it; those with several texts search with all.
+    own = F.struct("a", "b", "n")
+    several = known.groupBy("doc_id").agg(F.min(own).alias("x"), F.max(own).alias("y")).where("x <> y").select("doc_id")
+    repeats = work.stage(copies.select("doc_id").distinct().join(several, "doc_id", "left_anti"), "ngram-repeats")
+
+    searching = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    searching = common.rows_without_ids(searching, "doc_id", repeats)
+    able = work.stage(_able(searching, known.agg(F.sum("n")).first()[0] or 0), "ngram-able")
+    texts = common.rows_with_ids(searching, "doc_id", able.select("doc_id")).join(able, "doc_id", "left_semi")
+    texts = work.stage(texts, "ngram-texts")
+    work.drop("ngram-repeats")
+
+    signed = texts.mapInArrow(_signer(_common_shingles(texts, work)), "sig long, doc_id long, need int")
+    signed = work.stage(signed, "ngram-signed")
+    hubs = signed.groupBy("sig").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
+    met = work.stage(signed.join(hubs.select("sig", "hub"), "sig"), "ngram-met")
+    work.drop("ngram-signed")
+
+    # Each document is verified with the hub it met most; documents that link meet in so many parts at least.
+    sizes = able.groupBy("doc_id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    pairs = met.where("doc_id <> hub").groupBy("hub", "doc_id", "need").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("least").alias(f"l_{c}"), F.col("most").alias(f"m_{c}"))
+    # Each two elements that differ take one part at most from those in which the sets must meet.
+    enough = F.greatest(F.lit(1), F.col("need") - F.expr(f"(m_hub + m_doc_id) * {100 - PERCENT} div {100 + PERCENT} div 2"))
+    fits = (F.col("m_hub") * 100 >= F.col("l_doc_id") * PERCENT) & (F.col("m_doc_id") * 100 >= F.col("l_hub") * PERCENT)
+    pairs = pairs.join(of("hub"), "hub").join(of("doc_id"), "doc_id").where(fits & (F.col("n") >= enough))
+    best = pairs.groupBy("doc_id").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("a"))
+    best = work.stage(best.select("a", F.col("doc_id").alias("b")), "ngram-best")
+    linked = work.stage(_verify(best, texts), "ngram-linked")
+    links = linked.union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    found = work.stage(components(links, "ngram-first"), "ngram-found")
+
+    # Buckets that still hold several components are compared in full.
+    placed = met.select("sig", "doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = placed.select("sig", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-    placed = common.stage(placed.join(split, "sig", "left_semi"), "ngram-split")
-    # Shingles that a document has alone among these bound its similarity to any other: most
-    # edited copies have too many to link, and pairs have if both have some.
-    members = placed.select("doc_id").distinct()
-    one_text = sizes.where("n_least = n_most")  # the bound is one text's
-    own = _own_shingles(members, known).join(one_text, "doc_id").select("doc_id", "own", F.col("n_most").alias("size"))
-    placed = placed.join(own, "doc_id", "left").withColumns({"own": F.coalesce("own", F.lit(0)), "size": F.coalesce("size", F.lit(0))})
-    placed = placed.where((F.col("own") == 0) | ((F.col("size") - F.col("own")) * 100 >= F.col("size") * PERCENT))
-    placed = common.stage(placed, "ngram-able")
-    other = placed.select("sig", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("own").alias("own_b"), F.col("size").alias("size_b"))
-    crossing = placed.select("sig", "need", F.col("doc_id").alias("a"), F.col("c").alias("ca"), "own", "size").join(other, "sig").where("ca < cb")
-    most = F.least(F.col("size") - F.col("own"), F.col("size_b") - F.col("own_b"))
-    union = F.greatest(F.col("size") + F.col("own_b"), F.col("size_b") + F.col("own"))
-    crossing = crossing.where((F.col("size") == 0) | (F.col("size_b") == 0) | (most * 100 >= union * PERCENT))
-    more = pairs_of(crossing.select("a", "b", "need")).select("a", "b").distinct()
-    more = more.join(tried, ["a", "b"], "left_anti")
-    more = common.stage(_verify(common.stage(more, "ngram-more"), known), "ngram-judged")
-    if not more.where("linked").isEmpty():
-        found = components(links.union(more.where("linked").select("a", "b")), "ngram-components")
-    found = common.stage(found, "ngram-found").select(F.col("node").alias("doc_id"), "component")
-    return sets.join(found, "doc_id", "left").select(
+    live = work.stage(placed.join(split, "sig", "left_semi"), "ngram-live")
+    work.drop("ngram-met", "ngram-best")
+    blocks, sides = _blocks(live.select("sig", "doc_id"), able, work)
+    where = live.select("doc_id", "c").distinct()
+    members = work.stage(blocks.select("block", "doc_id").distinct().join(where, "doc_id"), "ngram-members")
+    rows = sides.join(members, "block").join(texts, "doc_id").select("task", "left", "doc_id", "c", "text")
+    more = work.stage(rows.groupBy("task").applyInArrow(_compared, "a long, b long"), "ngram-more")
+    if not more.isEmpty():
+        found = work.stage(components(links.union(more), "ngram-last"), "ngram-components")
+    result = found.select(F.col("node").alias("doc_id"), "component")
+    work.drop(*(tag for tag in list(work.paths) if tag not in ("ngram-sets", "ngram-found", "ngram-components")))
+    return sets.join(result, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are hashed in runs of about so many bytes, which bounds a worker's memory.
 RUN_BYTES = 1 << 20
@@ -48,6 +50,17 @@ def runs(sizes: list[int]):
         yield slice(begin, len(sizes))
 
 
+def text_runs(batch: pa.RecordBatch, column: str = "text"):
+    """(slice, texts in UTF-8) of neighbouring rows of about RUN_BYTES; only one run is in Python's memory at once.
+
+    Null is taken as empty. A run has 2**16 rows at most.
+    """
+    texts = batch.column(column).cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for run in runs((sizes + max(1, RUN_BYTES >> 16)).tolist()):
+        yield run, [t or b"" for t in texts.slice(run.start, run.stop - run.start).to_pylist()]
+
+
 def words_of(texts: list[bytes], blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, starts, ends, first) of the words of some texts.
 

@@ -112,6 +112,7 @@ def test_ngram_join_matches_brute_force(spark, common, monkeypatch):
             n += 1
     if common:
         monkeypatch.setattr(ngram_join, "COMMON", 2)
+        monkeypatch.setattr(ngram_join, "BLOCK", 500)
     got = rows(ngram_join.jaccard_components(frame(spark, texts)), "doc_id", "n_shingles", "component_id")
     assert got == sorted(brute_components(texts), key=repr)
 
@@ -144,6 +145,13 @@ def test_ngram_join_odd_rows(spark):
     assert ngram_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_ngram_join_takes_rows_of_one_id_together(spark):
+    base = prose(1, 80, 5000)
+    texts = [(1, base), (2, edited(base, 1, 1)), (2, prose(2, 60, 5000)), (3, edited(prose(2, 60, 5000), 3, 1)), (4, ""), (4, base), (5, prose(9, 40, 5000))]
+    got = set(rows(ngram_join.jaccard_components(frame(spark, texts)), "doc_id", "component_id"))
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
+
+
 # suffix dedup
 
 
