@@ -22,45 +22,65 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Documents of one (source, length) are ranked within so many hash buckets, so none is one task's.
 BUCKETS = 256
-#: Words that the knapsack fits at most; larger rests are first cut by whole documents.
+#: Words that are left to the knapsack at least; twice the longest document, if that is more.
 EXACT = 1 << 16
+#: Cells of the knapsack at most; beyond them (documents of millions of words) a cell is several words.
+CELLS = 1 << 24
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take, so that their words come to ``budget`` or just below.
 
-    Exact where some choice of the documents left after the proportional part fits.
+    Each length gives its share but for some room, which the knapsack fills. Where the
+    documents left then don't fill it to the word, the room is widened, up to the whole
+    budget: the choice is then the best one there is, as long as CELLS hold it.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
+    take = np.zeros(len(lengths), np.int64)
     if budget <= 0 or total <= 0:
-        return np.zeros(len(lengths), np.int64)
-    if budget >= total:
-        return counts.copy()
-    # In proportion, but for some room that the knapsack gets.
-    share = max(0, budget - EXACT // 2)
+        return take
+    fits = (lengths > 0) & (lengths <= budget) & (counts > 0)
+    if not fits.any():
+        return take
+    unit = int(np.gcd.reduce(lengths[fits]))  # sums are multiples of it
+    lengths, counts, budget = np.where(fits, lengths, 0) // unit, np.where(fits, counts, 0), budget // unit
+    if budget >= int((lengths * counts).sum()):
+        return counts
+    room = max(EXACT, 2 * int(lengths.max()))
+    while True:
+        tried = _fit(lengths, counts, budget, room)
+        if int((tried * lengths).sum()) > int((take * lengths).sum()):
+            take = tried
+        if room >= min(budget, CELLS) or int((take * lengths).sum()) == budget:
+            return take
+        room = min(room * 8, budget)
+
+
+def _fit(lengths: np.ndarray, counts: np.ndarray, budget: int, room: int) -> np.ndarray:
+    total = int((lengths * counts).sum())
+    share = max(0, budget - room)
     take = np.array([int(c) * share // total for c in counts], np.int64)
     rest = budget - int((take * lengths).sum())
     left = counts - take
-    for k in np.argsort(-lengths, kind="stable"):  # long ones first, until the rest is small
-        if rest <= EXACT:
+    longest_first = [int(k) for k in np.argsort(-lengths, kind="stable") if lengths[k]]
+    for k in longest_first:  # until the rest is small
+        if rest <= room:
             break
-        if lengths[k] > 0:
-            n = min(int(left[k]), (rest - EXACT // 2) // int(lengths[k]))
-            if n > 0:
-                take[k] += n
-                left[k] -= n
-                rest -= n * int(lengths[k])
+        n = min(int(left[k]), (rest - room // 2) // int(lengths[k]))
+        take[k] += n
+        left[k] -= n
+        rest -= n * int(lengths[k])
     # Bounded knapsack: the first length (long to short) by which each sum is reached, and how often.
-    rest = min(rest, EXACT * 2)
-    first = np.full(rest + 1, -1, np.int64)
+    grain = rest // CELLS + 1
+    steps, rest = -(-lengths // grain), rest // grain
+    first, used = np.full(rest + 1, -1, np.int32), np.zeros(rest + 1, np.int32)
     reached = np.zeros(rest + 1, bool)
     reached[0] = True
-    used_at = np.zeros(rest + 1, np.int32)
-    order = [k for k in np.argsort(-lengths, kind="stable") if 0 < lengths[k] <= rest and left[k] > 0]
-    for k in order:
-        step, most = int(lengths[k]), int(left[k])
-        used = np.zeros(rest + 1, np.int32)
+    for k in longest_first:
+        step, most = int(steps[k]), int(left[k])
+        if step > rest or not most:
+            continue
         at = np.flatnonzero(reached)
         for n in range(1, min(most, rest // step) + 1):
             at = at[at + step <= rest] + step
@@ -68,14 +88,13 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
             if not len(at):
                 break
             reached[at], first[at], used[at] = True, k, n
-        used_at = np.where(first == k, used, used_at)
         if reached[rest]:
             break
     at = int(np.flatnonzero(reached).max())
     while at > 0:
-        k, n = int(first[at]), int(used_at[at])
+        k, n = int(first[at]), int(used[at])
         take[k] += n
-        at -= n * int(lengths[k])
+        at -= n * int(steps[k])
     return take
 
 
@@ -117,25 +136,27 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: int = 150) -> DataFrame:
 def sized(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size")
-    )
+        F.col("doc_id").cast("long").alias("doc_id"), "source",
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text).alias("content"),
+    )
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> DataFrame:
-    """``mix_rows`` without the source."""
-    return mix_rows(docs, weights, share, seed).drop("source")
+    """``mix_rows`` without the source and the content's hash."""
+    return mix_rows(docs, weights, share, seed).drop("source", "content")
 
 
 def mix_rows(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken.
+    """One row per row of ``docs``: doc_id, source, size, content, source_size, target, taken.
 
+    ``content`` is a hash of the text.
     ``taken`` is 0, 1 or 2 times the document's size. A null text has no words; a null
     source is one source, last in order. Rows that repeat a doc_id are chosen each on
     its own. Sources without words have the target 0. Reruns agree: ranks within a
-    length follow the seeded hash of doc_id, then doc_id. An empty table gives an
+    length follow the seeded hash of doc_id and text, then doc_id. An empty table gives an
     empty result; other columns are ignored.
     """
-    rank_key = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    rank_key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("content"))
     rows = sized(docs).withColumn("bucket", F.pmod(rank_key, F.lit(BUCKETS)).cast("int"))
     rows = common.stage(rows, "mix-sizes")  # the texts are read once
     counts = common.stage(rows.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
@@ -181,6 +202,7 @@ def mix_rows(docs: DataFrame, weights=WEIGHTS, share: int = 150, seed: int = 11)
         "doc_id",
         "source",
         "size",
+        "content",
         F.col("q_p_source_size").alias("source_size"),
         F.col("q_p_target").alias("target"),
         (F.col("size") * times).cast("long").alias("taken"),
@@ -194,12 +216,27 @@ def op7_mix(spark, sf_dir):
 def mixed(spark, docs, sf_dir):
     """Pipeline stage, the last: the documents of the mix with size, source_size, target and taken.
 
-    Rows of equal doc_id, source and size are taken alike, as often as the first of them.
+    Rows of equal doc_id, source and text are interchangeable: as many of them are taken
+    as the mix takes, once or twice. Columns of ``docs`` with a name of the result's are
+    replaced. An empty table gives an empty result.
     """
-    keys = ["doc_id", "source", "size"]
-    taken = mix_rows(docs).where("taken > 0").groupBy(*keys)
-    taken = taken.agg(*(F.max(c).alias(c) for c in ("source_size", "target", "taken")))
-    t = taken.select(*(F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in taken.columns))
-    rows = docs.withColumn("size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"))
-    same = [rows[c].eqNullSafe(t[f"_{c}"]) for c in keys]
-    return rows.join(t, same[0] & same[1] & same[2]).drop(*(f"_{c}" for c in keys))
+    keys, added = ["doc_id", "source", "size", "content"], ["size", "source_size", "target", "taken"]
+    chosen = mix_rows(docs).groupBy(*keys).agg(
+        F.max("source_size").alias("source_size"),
+        F.max("target").alias("target"),
+        F.count(F.lit(1)).alias("_n"),
+        F.sum((F.col("taken") > F.col("size")).cast("int")).alias("_twice"),
+        F.sum((F.col("taken") == F.col("size")).cast("int")).alias("_once"),
+    )
+    chosen = chosen.where("_twice + _once > 0 and size > 0")
+    t = chosen.select(*(F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in chosen.columns))
+    own = [c for c in docs.columns if c not in added]
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(*own, F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text).alias("_key"))
+    same = rows["doc_id"].cast("long").eqNullSafe(t["_doc_id"]) & rows["source"].eqNullSafe(t["_source"])
+    rows = rows.join(t, same & (rows["size"] == t["_size"]) & (rows["_key"] == t["_content"]))
+    alike = W.partitionBy("_doc_id", "_source", "_size", "_content").orderBy("_key")
+    rows = rows.where("_n = 1").withColumn("_rank", F.lit(1)).unionByName(rows.where("_n > 1").withColumn("_rank", F.row_number().over(alike)))
+    times = F.when(F.col("_rank") <= F.col("_twice"), 2).when(F.col("_rank") <= F.col("_twice") + F.col("_once"), 1)
+    rows = rows.withColumn("taken", (F.col("size") * times).cast("long")).where("taken is not null")
+    return rows.select(*own, *added)
