@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import runs, window_hashes, words_of
+from .tokens import text_runs, window_hashes, words_of
 
 #: 1 selects a token, 0 ignores it. Any two substitutions in 13 tokens leave one mask whole somewhere.
 MASKS = ("1111111", "101010011101", "111101011", "11100110101")
 OFFSETS = tuple(tuple(k for k, c in enumerate(m) if c == "1") for m in MASKS)
 SPAN = max(map(len, MASKS))
-#: Items of fewer tokens than MIN_ITEM are too common to be told from chance and match nothing.
+#: Items of fewer tokens than MIN_ITEM are too common to be told from chance inside a text: they match whole texts only.
 MIN_ITEM = 6
 #: Tokens compared on each side of a hit.
 CONTEXT = 96
@@ -37,16 +37,21 @@ _BLANK = np.ones(256, bool)
 _BLANK[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
 
-def token_hashes(texts: list[str | None]) -> list[np.ndarray]:
-    h, _, _, first = words_of([(t or "").lower().encode() for t in texts], _BLANK)
+def token_hashes(texts: list[bytes]) -> list[np.ndarray]:
+    h, _, _, first = words_of([t.decode().lower().encode() for t in texts], _BLANK)
     return [h[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
 def _hashed(batch, id_column: str):
     """(id, token hashes) of the batch's rows, hashed by runs of texts."""
-    ids, texts = batch.column(id_column).to_pylist(), batch.column("text").to_pylist()
-    for run in runs([len(t or "") * 2 + 1 for t in texts]):
-        yield from zip(ids[run], token_hashes(texts[run]))
+    ids = batch.column(id_column).to_pylist()
+    for run, texts in text_runs(batch):
+        yield from zip(ids[run], token_hashes(texts))
+
+
+def whole_seed(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seed of a text of fewer tokens than MIN_ITEM as a whole."""
+    return window_hashes(h, tuple(range(len(h)))) + np.uint64(2000 + len(h)), np.zeros(1, np.int64)
 
 
 def seeds(h: np.ndarray, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
@@ -69,9 +74,9 @@ def _item_rows(batches):
     for batch in batches:
         out = {"item_id": [], "n": [], "tokens": [], "seeds": []}
         for item, h in _hashed(batch, "item_id"):
-            if len(h) < MIN_ITEM:
+            if not len(h):
                 continue
-            s, at = seeds(h, (len(h),) if len(h) < SPAN else ())
+            s, at = seeds(h, (len(h),) if len(h) < SPAN else ()) if len(h) >= MIN_ITEM else whole_seed(h)
             out["item_id"].append(item)
             out["n"].append(len(h))
             out["tokens"].append(h.astype("<u8").tobytes())
@@ -129,7 +134,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = common.stage(
         items.mapInArrow(_item_rows, "item_id long, n int, tokens binary, seeds array<struct<h:long,at:int>>"), "bench-items"
     )
-    short = tuple(sorted(r.n for r in items.where(F.col("n") < SPAN).select("n").distinct().collect()))  # lengths: under SPAN rows
+    short = tuple(sorted(r.n for r in items.where(F.col("n").between(MIN_ITEM, SPAN - 1)).select("n").distinct().collect()))  # lengths: under SPAN rows
     words = items.select(F.explode("seeds").alias("s")).select("s.h").distinct()
     first, second = F.col("h").bitwiseAND((1 << BITMAP_BITS) - 1), F.shiftrightunsigned("h", 32).bitwiseAND((1 << BITMAP_BITS) - 1)
     maps = (
@@ -150,7 +155,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             out = {"doc_id": [], "start": [], "tokens": [], "seeds": []}
             for doc, h in _hashed(batch, "doc_id"):
-                s, at = seeds(h, short)
+                s, at = seeds(h, short) if len(h) >= MIN_ITEM or not len(h) else whole_seed(h)
                 one, two = _bits(s)
                 found = np.flatnonzero(has(one))
                 found = found[has(two[found]) == 1]
@@ -221,7 +226,18 @@ def op1_decontaminate(spark, sf_dir):
 
 
 def keep_clean(spark, docs, sf_dir):
-    """Pipeline stage: documents without an overlap with the benchmark."""
-    leaked = overlaps(docs, common.read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    leaked = common.stage(leaked, "leaked")
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: documents without an overlap with the benchmark.
+
+    Of rows that share a doc_id all go if one overlaps; rows without one are judged by
+    their own text. Null and empty texts stay; an empty table gives an empty result.
+    """
+    benchmark = common.read(spark, sf_dir, "benchmark")
+    leaked = common.stage(overlaps(docs.where("doc_id is not null"), benchmark).select("doc_id").distinct(), "leaked")
+    named = docs.where("doc_id is not null").join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    key = F.xxhash64("text")
+    unnamed = docs.where("doc_id is null")
+    texts = unnamed.where("text is not null").select(key.alias("doc_id"), "text")
+    if texts.isEmpty():
+        return named.unionByName(unnamed)
+    leaked = common.stage(overlaps(texts, benchmark).select(F.col("doc_id").alias("_key")).distinct(), "leaked")
+    return named.unionByName(unnamed.withColumn("_key", key).join(leaked, "_key", "left_anti").select(*docs.columns))
