@@ -2,10 +2,13 @@ r"""Chat formatting with budgeted windows.
 
 Every turn of a conversation is rendered between ``<s>[INST] role`` and ``</s>``;
 texts are escaped so that no control string can occur inside them. Prefix sums of
-the turns' tokens cut a conversation into turn-aligned spans: a turn belongs to the
-span in which its first token falls. A window is a span with the system turn before
-it and those last turns of history whose tokens fit the history budget. The loss
-mask covers the assistant texts of the span only; those repeated as history or as
+the turns' tokens cut a conversation into turn-aligned spans. The budget less the
+system turn's and the history's tokens is the cell of a grid over the prefix sums: the
+turns that lie whole in one cell are a span, and a turn that crosses a cell's end is one
+alone. A window is a span with the system turn before it and those last turns of history
+whose tokens fit the history budget; a long turn that leaves no room for it has none. So
+no window has more tokens than the budget, unless the system turn and one further turn
+have more. The loss mask covers the assistant texts of the span only; those repeated as history or as
 system turn are masked out, so each target is learned once.
 
 Escape: a backslash is doubled, and a backslash goes between the first and second
@@ -41,8 +44,8 @@ def windows(conversations: DataFrame, budget: int = 256, history: int = 64) -> D
     Returns conv_id, window, formatted, n_repeated (leading turns that are repeated
     context) and loss (array of (start, length) in code points of ``formatted``, from
     1). A null text or role counts as empty. Turns of equal number are ordered by
-    role and text; repeated rows are turns of their own. A turn longer than the budget
-    makes a window alone. Rows with a null conv_id form one conversation. An empty
+    role and text; repeated rows are turns of their own. A window's texts have ``budget``
+    tokens at most, but for one whose only turn, or that and the system turn, has more. Rows with a null conv_id form one conversation. An empty
     table gives an empty result; other columns are ignored.
     """
     turns = conversations.select(
@@ -56,17 +59,26 @@ def windows(conversations: DataFrame, budget: int = 256, history: int = 64) -> D
     turns = turns.withColumn("pos", F.row_number().over(order)).withColumn(
         "before", F.sum("tokens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("tokens")
     )
-    # An empty turn at the very end starts where the last token ends; it goes with the turn before.
-    turns = turns.withColumn(
-        "own", F.expr(f"(case when tokens = 0 then greatest(before - 1, 0) else before end) div {budget}")
-    )
-    last = F.max("own").over(W.partitionBy("conv_id"))
-    turns = turns.withColumn("last", last)
     system = (F.col("pos") == 1) & (F.col("role") == "system")
-    reach = F.when(system, F.col("last")).otherwise(
-        F.least(F.col("last"), F.greatest(F.col("own"), F.expr(f"(before + {history}) div {budget}")))
-    )
-    placed = turns.withColumn("window", F.explode(F.sequence("own", reach)))
+    whole = W.partitionBy("conv_id")
+    turns = turns.withColumn("own_system", system).withColumn("ahead", F.sum(F.when(system, F.col("tokens")).otherwise(0)).over(whole))
+    # The grid counts the tokens after the system turn, which every window holds.
+    turns = turns.withColumn("before", F.when(system, 0).otherwise(F.col("before") - F.col("ahead")))
+    turns = turns.withColumn("room", F.lit(budget) - F.col("ahead"))
+    back = F.col("room") >= 2 * history
+    turns = turns.withColumn("back", back).withColumn("cell", F.greatest(F.lit(1), F.col("room") - F.when(back, history).otherwise(0)))
+    turns = turns.withColumn("at", F.expr("before div cell"))
+    crosses = ~system & F.expr("tokens > 0 and (before + tokens - 1) div cell > at")
+    has_history = F.col("back") & (~crosses | (F.col("tokens") + history <= F.col("room")))
+    # Windows in order: of a cell the span inside it, then the turn that crosses its end; odd ones have no history.
+    own = F.col("at") * 4 + F.when(crosses, 2).otherwise(0) + F.when(has_history, 0).otherwise(1)
+    # Beside a system turn that leaves little room each turn is a span.
+    turns = turns.withColumn("own", F.when(F.col("room") < budget // 4, F.col("pos") * 4 + 1).otherwise(own).cast("long"))
+    # A turn is history up to the window that begins at most ``history`` tokens after the turn's begin.
+    ahead = W.partitionBy("conv_id").orderBy("before").rangeBetween(0, history)
+    reach = F.when(system, F.max("own").over(whole)).otherwise(F.max("own").over(ahead))
+    placed = turns.withColumn("reach", reach).withColumn("window", F.explode(F.sequence("own", F.greatest("own", "reach"))))
+    placed = placed.where(F.col("own_system") | (F.col("own") == F.col("window")) | (F.col("window") % 2 == 0))
     start = F.concat(F.lit(f"{START}{OPEN} "), escape(F.col("role")), F.lit(f" {CLOSE}"))
     placed = placed.select(
         "conv_id",
@@ -80,7 +92,7 @@ def windows(conversations: DataFrame, budget: int = 256, history: int = 64) -> D
         ).alias("t"),
     )
     grouped = placed.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    grouped = grouped.where(F.exists("t", lambda t: t["own"]))  # a span inside one long turn has none
+    grouped = grouped.where(F.exists("t", lambda t: t["own"]))  # cells without a span
     pieces = F.transform("t", lambda t: F.concat(t["head"], t["body"], F.lit(END)))
     # Offsets of the turns in the window, then the spans of the targets.
     step = F.aggregate(
@@ -189,21 +201,28 @@ WITH c AS (
          row_number() OVER w AS pos
   FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), b AS (
-  SELECT *, (sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens)::BIGINT AS before FROM n
-), o AS (
-  SELECT *, (CASE WHEN tokens = 0 THEN greatest(before - 1, 0) ELSE before END) // {budget} AS own FROM b
-), l AS (
-  SELECT *, max(own) OVER (PARTITION BY conv_id) AS last,
+  SELECT *, (sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens)::BIGINT AS before,
+         pos = 1 AND role = 'system' AS is_system,
+         coalesce(sum(tokens) FILTER (pos = 1 AND role = 'system') OVER (PARTITION BY conv_id), 0)::BIGINT AS ahead,
          length('<s>[INST] ' || {esc.format('role')} || ' [/INST]' || {esc.format('text')} || '</s>') AS chars
-  FROM o
-), x AS (
-  SELECT conv_id, chars, own, unnest(generate_series(own, CASE WHEN pos = 1 AND role = 'system' THEN last
-         ELSE least(last, greatest(own, (before + {history}) // {budget})) END)) AS win
-  FROM l
+  FROM n
+), r AS (
+  SELECT * REPLACE (CASE WHEN is_system THEN 0 ELSE before - ahead END AS before), {budget} - ahead AS room FROM b
+), o AS (
+  SELECT *, greatest(1, CASE WHEN room >= {2 * history} THEN room - {history} ELSE room END) AS cell FROM r
+), k AS (
+  SELECT *, before // cell AS at,
+         NOT is_system AND tokens > 0 AND (before + tokens - 1) // cell > before // cell AS alone FROM o
+), q AS (
+  SELECT *, CASE WHEN room < {budget // 4} THEN pos * 4 + 1 ELSE at * 4 + CASE WHEN alone THEN 2 ELSE 0 END
+         + CASE WHEN room >= {2 * history} AND (NOT alone OR tokens + {history} <= room) THEN 0 ELSE 1 END END AS own FROM k
+), v AS (
+  SELECT conv_id, own AS win, min(before) AS start FROM q GROUP BY ALL
 ), f AS (
-  SELECT conv_id, sum(chars)::BIGINT AS formatted_chars
-  FROM x WHERE EXISTS (SELECT 1 FROM o WHERE o.conv_id IS NOT DISTINCT FROM x.conv_id AND o.own = x.win)
-  GROUP BY conv_id
+  SELECT q.conv_id, sum(chars)::BIGINT AS formatted_chars
+  FROM q JOIN v ON q.conv_id IS NOT DISTINCT FROM v.conv_id
+       AND (q.own = v.win OR is_system OR (v.win % 2 = 0 AND q.own < v.win AND q.before >= v.start - {history}))
+  GROUP BY q.conv_id
 ), g AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos) AS turns,
