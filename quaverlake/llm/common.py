@@ -108,10 +108,14 @@ def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return flagged.where(may).select(*df.columns)
 
 
+def split_by_ids(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``column`` may be among ``ids`` (one column), and those that surely aren't."""
+    flagged, may = _flagged(df, column, ids)
+    return flagged.where(may).select(*df.columns), flagged.where(~may).select(*df.columns)
+
+
 def rows_without_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``column`` isn't among ``ids``: only those that may be are joined with them."""
-    flagged, may = _flagged(df, column, ids)
+    doubtful, clear = split_by_ids(df, column, ids)
     named = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
-    doubtful = rows_with_ids(df, column, ids)
-    doubtful = doubtful.join(named, doubtful[column] == named["_id"], "left_anti")
-    return flagged.where(~may).select(*df.columns).unionByName(doubtful)
+    return clear.unionByName(doubtful.join(named, doubtful[column] == named["_id"], "left_anti"))

@@ -173,6 +173,20 @@ FROM d
 
 
 def keep_distinct(spark, docs, sf_dir):
-    """Pipeline stage: the rows of ``docs`` that stay; those without a doc_id do."""
-    gone = exact_dedup(docs).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: of equal texts the row with the largest doc_id, one row of each text.
+
+    Null counts as the empty text. Where the largest doc_id's row repeats, or no row of a
+    text has a doc_id, one of these rows stays. An empty table gives an empty result;
+    other columns pass.
+    """
+    judged = exact_dedup(docs).groupBy("doc_id", "text_sha256")
+    judged = judged.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")).where("not _kept or _n > 1")
+    marks = common.stage(judged.withColumnsRenamed({"doc_id": "_doc", "text_sha256": "_sha"}), "dedup-marks")
+    rows = docs.withColumn("_own", F.sha2(normalised(F.col("text")), 256))
+    doubtful, clear = common.split_by_ids(rows, "_own", marks.select("_sha"))
+    same = (doubtful["_own"] == marks["_sha"]) & doubtful["doc_id"].cast("long").eqNullSafe(marks["_doc"])
+    doubtful = doubtful.join(marks, same, "left")
+    # Equal rows are combined before they meet, however many there are.
+    every = F.struct(*docs.columns)
+    again = doubtful.where("_kept").groupBy("_sha", "_doc").agg(F.min_by(every, F.xxhash64(*docs.columns)).alias("row"))
+    return clear.select(*docs.columns).unionByName(doubtful.where("_sha is null").select(*docs.columns)).unionByName(again.select("row.*"))
