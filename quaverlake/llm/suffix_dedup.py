@@ -19,7 +19,6 @@ Texts that occur more than once as wholes need no parse but one.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import common
-from .tokens import mixed, powers, prefix_sums
+from .tokens import mixed, powers, prefix_sums, text_runs
 
 #: Strings of so many bytes that occur twice are removed.
 LENGTH = 200
@@ -38,7 +37,7 @@ PLACES = LENGTH - 2 * EDGE - GRAM + 1
 #: Texts are parsed in runs of about so many bytes.
 RUN_BYTES = 1 << 19
 #: Phrases with one core that are sorted in memory at most; beyond, their windows are grouped by Spark.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 
 def phrases(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -51,7 +50,7 @@ def phrases(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     sums, down = prefix_sums(raw), powers(n + 1)[1]
     grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
-    grams = (grams & np.uint64((1 << 64) - (1 << 30))) | np.arange(len(grams), dtype=np.uint64)
+    grams = (grams & np.uint64((1 << 64) - (1 << 31))) | np.arange(len(grams), dtype=np.uint64)
     # Smallest of PLACES neighbours: of 64 by doubling, then of two that overlap.
     width = 1
     while width * 2 <= PLACES:
@@ -59,7 +58,7 @@ def phrases(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         width *= 2
     grams = np.minimum(grams[: len(grams) - (PLACES - width)], grams[PLACES - width :])
     starts = n - LENGTH
-    trigger = (grams[EDGE : EDGE + starts] & np.uint64((1 << 30) - 1)).astype(np.int64)
+    trigger = (grams[EDGE : EDGE + starts] & np.uint64((1 << 31) - 1)).astype(np.int64)
     own = np.repeat(np.arange(len(texts)), np.diff(begins))[:starts]
     valid = np.arange(starts) + LENGTH < begins[own + 1]
     at = np.flatnonzero(valid)
@@ -96,18 +95,10 @@ def _digest(text: bytes) -> bytes:
     return hashlib.blake2b(text, digest_size=16).digest()
 
 
-def _listed(batches):
-    """(doc, tag, a, b): tags tell rows that repeat a doc_id apart, a and b are the text's digest."""
-    for batch in batches:
-        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-        d = np.frombuffer(b"".join(map(_digest, texts)), "<i8").reshape(-1, 2)
-        yield pa.RecordBatch.from_pydict(
-            {"doc": batch.column("doc"), "tag": pa.array([_tag(t) for t in texts], pa.int64()), "a": d[:, 0].copy(), "b": d[:, 1].copy()}
-        )
-
-
-def _tag(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFFFF
+def _key(text: bytes) -> tuple[int, int]:
+    """(doc, tag): 60 and 24 bits that name a text; ``_DOC`` and ``_TAG`` are the same in SQL."""
+    digest = hashlib.md5(text, usedforsecurity=False).hexdigest()
+    return int(digest[:15], 16), int(digest[15:21], 16)
 
 
 def _parsed(batches):
@@ -115,26 +106,26 @@ def _parsed(batches):
 
     place: tag (24 bits), first window (31 bits) and number of windows less one (7 bits).
     """
-    seen: set[bytes] = set()
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        texts, docs = [], []
-        for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-            raw = (text.as_py() or "").encode()
-            if len(raw) >= LENGTH and (d := _digest(raw)) not in seen:
-                seen.add(d)
-                texts.append(raw)
-                docs.append(doc)
-        for i, j in _runs(texts):
-            text, first, more, core, whole = phrases(texts[i:j])
-            tags = np.array([_tag(t) for t in texts[i:j]], np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc": np.array(docs[i:j], np.int64)[text],
-                    "place": (tags[text] << 38) | (first << 7) | more,
-                    "core": core.view(np.int64),
-                    "whole": whole.view(np.int64),
-                }
-            )
+        for _, run in text_runs(batch):
+            texts, keys = [], []
+            for raw in run:
+                if len(raw) >= LENGTH and (key := _key(raw)) not in seen:
+                    seen.add(key)
+                    texts.append(raw)
+                    keys.append(key)
+            for i, j in _runs(texts):
+                text, first, more, core, whole = phrases(texts[i:j])
+                docs, tags = (np.array(x, np.int64) for x in zip(*keys[i:j]))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc": docs[text],
+                        "place": (tags[text] << 38) | (first << 7) | more,
+                        "core": core.view(np.int64),
+                        "whole": whole.view(np.int64),
+                    }
+                )
 
 
 def _contexts(batches):
@@ -257,7 +248,9 @@ _RESULT = pa.schema(
      ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
 )
 
-_TAG = "cast(crc32(cast(coalesce(text, '') as binary)) & 16777215 as bigint)"
+_MD5 = "md5(cast(coalesce(text, '') as binary))"
+_DOC = f"cast(conv(substring({_MD5}, 1, 15), 16, 10) as bigint)"
+_TAG = f"cast(conv(substring({_MD5}, 16, 6), 16, 10) as bigint)"
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -266,19 +259,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Removes each byte that a string of 200 bytes covers which also starts elsewhere, in
     the same text or another one; texts are UTF-8 and judged as they came. ``spans`` has
     the maximal removed runs. A null text is empty; texts under 200 bytes keep all.
-    Rows that repeat are texts of their own, so they remove each other. Null doc_ids are
-    fine. An empty table gives an empty result; other columns are ignored.
+    Rows that repeat are texts of their own, so they remove each other, whatever their
+    doc_ids; these may be null or repeat, as texts are named by a digest of 84 bits.
+    Phrases that occur again as wholes are told by two hashes of 64 bits. An empty table
+    gives an empty result; other columns are ignored.
     """
-    nobody = -(1 << 63)  # stands for a null doc_id in joins
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs = docs.withColumn("doc", F.coalesce("doc_id", F.lit(nobody)))
-    rows = common.stage(docs.select("doc", "text").mapInArrow(_listed, "doc long, tag long, a long, b long"), "repeat-texts")
-    copies = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
-    copies = common.stage(copies, "repeat-classes")
-    wholes = rows.join(copies, ["a", "b"], "left_semi").select("doc", "tag", F.lit(True).alias("whole")).distinct()
-    wholes = common.stage(wholes, "repeat-wholes")
-
-    parse = docs.select("doc", "text").mapInArrow(_parsed, "doc long, place long, core long, whole long")
+    docs = docs.withColumn("doc", F.expr(_DOC)).withColumn("tag", F.expr(_TAG))
+    wholes = docs.groupBy("doc", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wholes = common.stage(wholes.select("doc", "tag", F.lit(True).alias("whole")), "repeat-wholes")
+
+    parse = docs.select("text").mapInArrow(_parsed, "doc long, place long, core long, whole long")
     of_core, of_whole = W.partitionBy("core"), W.partitionBy("core", "whole")
     in_order = of_whole.orderBy("doc", "place")
     ranked = (
@@ -295,7 +286,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     wanted = ranked.where("sort").select("doc", F.shiftright("place", 38).alias("tag"), F.struct("place", "core").alias("p"))
     wanted = wanted.groupBy("doc", "tag").agg(F.collect_list("p").alias("places"))
     wanted = common.stage(wanted, "repeat-wanted")
-    texts = common.rows_with_ids(docs.select("doc", "text"), "doc", wanted.select("doc")).withColumn("tag", F.expr(_TAG))
+    texts = common.rows_with_ids(docs.select("doc", "tag", "text"), "doc", wanted.select("doc"))
     dictionary = (
         texts.join(wanted, ["doc", "tag"])
         .dropDuplicates(["doc", "tag"])
@@ -323,7 +314,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = runs.groupBy("doc", F.shiftright("place", 38).alias("tag")).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     marks = spans.join(wholes, ["doc", "tag"], "full").select("doc", "tag", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
     marks = common.stage(marks, "repeat-spans")
-    out = docs.withColumn("tag", F.expr(_TAG)).join(marks, ["doc", "tag"], "left").select("doc_id", "text", "whole", "spans")
+    out = docs.join(marks, ["doc", "tag"], "left").select("doc_id", "text", "whole", "spans")
     return out.mapInArrow(
         _removed,
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>",
