@@ -21,6 +21,24 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 K_MIN, K_MAX = 1.0, 10000.0
 
 
+#: Suffixes of two labels under which domains are registered; every other last label is a suffix.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "com.br", "org.br", "com.cn", "net.cn", "org.cn",
+    "ac.jp", "co.jp", "ne.jp", "or.jp", "co.kr", "or.kr", "co.in", "org.in", "co.nz", "org.nz", "co.za", "org.za",
+    "com.mx", "com.ar", "com.tr", "com.tw", "com.hk", "com.sg", "co.il", "com.pl",
+)
+
+
+def host_levels(host: Column, suffixes=SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, without user and port; an address is its own domain and suffix."""
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+    address = bare.rlike(r"^[0-9]+(\.[0-9]+){3}$") | bare.startswith("[")
+    two = F.regexp_extract(bare, r"[^.]+\.[^.]+$", 0).isin(*suffixes)
+    domain = F.when(two, F.regexp_extract(bare, r"([^.]*\.)?[^.]+\.[^.]+$", 0)).otherwise(F.regexp_extract(bare, r"([^.]*\.)?[^.]*$", 0))
+    suffix = F.when(two, F.regexp_extract(bare, r"[^.]+\.[^.]+$", 0)).otherwise(F.regexp_extract(bare, r"[^.]*$", 0))
+    return F.when(address, bare).otherwise(domain), F.when(address, bare).otherwise(suffix)
+
+
 def url_parts(url: Column) -> tuple[Column, Column]:
     """(host, path); both empty where the url is null or has no ``://``."""
     at = F.instr(url, "://")
@@ -59,9 +77,8 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     counts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("b")
     )
-    counts = counts.withColumn("domain", F.regexp_extract("host", r"([^.]*\.)?[^.]*$", 0)).withColumn(
-        "suffix", F.regexp_extract("host", r"[^.]*$", 0)
-    )
+    domain, suffix = host_levels(F.col("host"))
+    counts = counts.withColumn("domain", domain).withColumn("suffix", suffix)
     counts = common.stage(counts, "hosts")
 
     def level(keys: list[str], tag: str) -> DataFrame:
@@ -148,10 +165,19 @@ WITH u AS (
          translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
   FROM u
-), h AS (
-  SELECT host, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix,
+), g AS (
+  SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare,
          count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS b
   FROM q GROUP BY host
+), h AS (
+  SELECT host, n, b,
+         CASE WHEN bare LIKE '[%' OR regexp_matches(bare, '^[0-9]+(\\.[0-9]+){{3}}$') THEN bare
+              WHEN regexp_extract(bare, '[^.]+\\.[^.]+$') IN {SUFFIXES} THEN regexp_extract(bare, '([^.]*\\.)?[^.]+\\.[^.]+$')
+              ELSE regexp_extract(bare, '([^.]*\\.)?[^.]*$') END AS domain,
+         CASE WHEN bare LIKE '[%' OR regexp_matches(bare, '^[0-9]+(\\.[0-9]+){{3}}$') THEN bare
+              WHEN regexp_extract(bare, '[^.]+\\.[^.]+$') IN {SUFFIXES} THEN regexp_extract(bare, '[^.]+\\.[^.]+$')
+              ELSE regexp_extract(bare, '[^.]*$') END AS suffix
+  FROM g
 ), d AS (SELECT suffix, domain, sum(n) AS n_d, sum(b) AS b_d FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n_s, sum(b) AS b_s FROM h GROUP BY ALL),
 t AS (
