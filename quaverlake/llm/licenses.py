@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import runs, words_of
+from .tokens import text_runs, words_of
 
 #: Phrases whose places count, with their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Openings of the public licence texts, by label.
+#: Clauses and notices of the public licence texts, by label: openings first, then texts as a whole.
 TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
     ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
@@ -41,6 +41,14 @@ TEMPLATES = (
     ("mit", "released under the mit license"),
     ("gpl", "gnu general public license version 3"),
     ("proprietary", "all rights reserved"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program if not see"),
 )
 
 #: Words of a stretch that takes part in a chain; those of shorter templates need the whole template.
@@ -195,8 +203,15 @@ class Scanner:
                     if y > py and x > px and abs((x - px) - (y - py)) <= GAP and y - (py + pn) <= GAP and cut < n:
                         score = max(score, (best[j][0] + n - cut, best[j][1]), key=lambda s: s[0])
                 best.append(score)
-            k = max(range(len(parts)), key=lambda i: (best[i][0], -i))
-            out.append((t, min(1.0, best[k][0] / total), best[k][1], parts[k][0] + parts[k][2]))
+            # The best chain, and all others that cover enough and don't overlap a better one.
+            taken: list[tuple[int, int]] = []
+            for k in sorted(range(len(parts)), key=lambda i: (-best[i][0], i)):
+                if taken and best[k][0] < COVER * total:
+                    break
+                start, end = best[k][1], parts[k][0] + parts[k][2]
+                if all(end <= i or j <= start for i, j in taken):
+                    taken.append((start, end))
+                    out.append((t, min(1.0, best[k][0] / total), start, end))
         return sorted(out)
 
 
@@ -215,10 +230,9 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataF
     def scanned(batches):
         scanner = Scanner(phrases, templates)
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            for run in runs([len(t) + 1 for t in texts]):
+            for run, texts in text_runs(batch):
                 out = defaultdict(list)
-                for n, places, chains in scanner.scan(texts[run]):
+                for n, places, chains in scanner.scan(texts):
                     starts = [at for at, _ in places]
                     base = {phrases[p][1] for _, p in places}
                     more = {templates[t][0] for t, share, _, _ in chains if share >= COVER}
@@ -248,5 +262,30 @@ _ARROW = pa.schema(
 )
 
 
+def license_base(spark, sf_dir):
+    """The columns of ``op6_licenses`` that don't depend on templates."""
+    out = license_scan(common.read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+LICENSE_BASE_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+         [i - 1 FOR i IN range(1, len(w)) IF w[i] = 'mit' AND w[i + 1] = 'license'] AS m,
+         [i - 1 FOR i IN range(1, len(w)) IF w[i] = 'apache' AND w[i + 1] = 'license'] AS a,
+         [i - 1 FOR i IN range(1, len(w) - 1) IF w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license'] AS g
+  FROM t
+), q AS (SELECT *, list_concat(m, a, g) AS places FROM p)
+SELECT doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_concat(CASE WHEN len(a) > 0 THEN ['apache'] ELSE [] END, CASE WHEN len(g) > 0 THEN ['gpl'] ELSE [] END,
+                                   CASE WHEN len(m) > 0 THEN ['mit'] ELSE [] END), ',') AS base_labels
+FROM q
+"""
+
+
 def op6_licenses(spark, sf_dir):
     return license_scan(common.read(spark, sf_dir, "documents")).drop("spans")

@@ -15,6 +15,7 @@ QUERIES = {
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_url_filter": url_filter.op5_url_filter,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "license_base": licenses.license_base,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_chat_format": chat_format.OP4_SQL,
     "op5_url_filter": url_filter.OP5_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "license_base": licenses.LICENSE_BASE_SQL,
 }
