@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .tokens import text_runs
 
 PASSAGE = 64
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 4000
 #: Texts are encoded in runs of about so many bytes, which bounds a worker's memory.
 RUN_BYTES = 1 << 19
-#: Rows of an Arrow batch whose texts are held as Python strings at a time.
+#: Rows of a run at most.
 ROWS = 512
 
 #: Byte classes: each character below has one; letters, digits and the rest follow.
@@ -146,29 +147,10 @@ def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, hidden: int = 16, epochs: i
     return m
 
 
-def _runs(sizes: list[int]):
-    """Slices of neighbouring texts of about RUN_BYTES."""
-    begin = held = 0
-    for k, s in enumerate(sizes):
-        if held and held + s > RUN_BYTES:
-            yield slice(begin, k)
-            begin, held = k, 0
-        held += s
-    if held or begin < len(sizes):
-        yield slice(begin, len(sizes))
-
-
-def _slices(batches):
-    for batch in batches:
-        for k in range(0, batch.num_rows, ROWS):
-            yield batch.slice(k, ROWS)
-
-
 def _encoded(batches):
-    for batch in _slices(batches):
-        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-        for run in _runs([len(t) + 1 for t in texts]):
-            yield run, batch, texts[run]
+    for batch in batches:
+        for run, texts in text_runs(batch, RUN_BYTES, ROWS):
+            yield run, batch, texts
 
 
 def sample_bags(docs: DataFrame, labels: DataFrame, label: str, sample: int):
@@ -198,6 +180,8 @@ def sample_bags(docs: DataFrame, labels: DataFrame, label: str, sample: int):
             )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
+    # One text of each document, so that no more rows than the sample has come back.
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
     rows = chosen.mapInArrow(bags, "doc_id long, y int, x binary").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
     xs = [np.frombuffer(r.x, "<f4").reshape(-1, N_FEATURES) for r in rows]
@@ -243,18 +227,17 @@ def op10_quality(spark, sf_dir):
 def keep_good(spark, docs, sf_dir):
     """Pipeline stage: documents that the classifier doesn't reject.
 
-    Scores join back as a column of the same pass: the map carries all columns along.
+    Each row is judged by its own text in one pass that carries all columns along; rows
+    that repeat are judged each, and a null or empty text as one empty passage. Without
+    labels all rows stay; an empty table gives an empty result.
     """
     labels = common.read(spark, sf_dir, "labels")
     model = fit(*sample_bags(docs, labels, "quality", SAMPLE))
 
     def chosen(batches):
-        for batch in _slices(batches):
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            keep = np.zeros(len(texts), bool)
-            for run in _runs([len(t) + 1 for t in texts]):
-                x, n = encode(texts[run])
-                keep[run] = _forward(model, x.astype(np.float64), n)["p"] >= 0.7
-            yield batch.filter(pa.array(keep))
+        for run, batch, texts in _encoded(batches):
+            x, n = encode(texts)
+            keep = _forward(model, x.astype(np.float64), n)["p"] >= 0.7
+            yield batch.slice(run.start, run.stop - run.start).filter(pa.array(keep))
 
     return docs.mapInArrow(chosen, docs.schema)

@@ -38,11 +38,11 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def runs(sizes: list[int]):
-    """Slices of neighbouring texts of about RUN_BYTES."""
+def runs(sizes: list[int], limit: int = RUN_BYTES):
+    """Slices of neighbouring texts of about ``limit`` bytes."""
     begin = held = 0
     for k, s in enumerate(sizes):
-        if held and held + s > RUN_BYTES:
+        if held and held + s > limit:
             yield slice(begin, k)
             begin, held = k, 0
         held += s
@@ -50,14 +50,14 @@ def runs(sizes: list[int]):
         yield slice(begin, len(sizes))
 
 
-def text_runs(batch: pa.RecordBatch, column: str = "text"):
-    """(slice, texts in UTF-8) of neighbouring rows of about RUN_BYTES; only one run is in Python's memory at once.
+def text_runs(batch: pa.RecordBatch, limit: int = RUN_BYTES, rows: int = 1 << 16):
+    """(slice, texts in UTF-8) of neighbouring rows of about ``limit`` bytes; only one run is in Python's memory at once.
 
-    Null is taken as empty. A run has 2**16 rows at most.
+    Null is taken as empty. A run has ``rows`` rows at most.
     """
-    texts = batch.column(column).cast(pa.binary())
+    texts = batch.column("text").cast(pa.binary())
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    for run in runs((sizes + max(1, RUN_BYTES >> 16)).tolist()):
+    for run in runs((sizes + max(1, limit // rows)).tolist(), limit):
         yield run, [t or b"" for t in texts.slice(run.start, run.stop - run.start).to_pylist()]
 
 
