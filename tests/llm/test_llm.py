@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -181,6 +182,14 @@ def test_suffix_dedup_matches_brute_force(spark, block, monkeypatch):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_suffix_dedup_of_rows_without_ids_of_their_own(spark, doc_id):
+    shared = prose(98, 60, 10**6)
+    texts = [(doc_id, prose(i, 70, 10**6) + (shared if i % 3 == 0 else "")) for i in range(60)] + [(doc_id, prose(5, 70, 10**6))]
+    got = rows(suffix_dedup.remove_repeats(frame(spark, texts)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_removed(texts)
+
+
 # decontamination
 
 
@@ -268,13 +277,75 @@ def test_chat_round_trip(spark):
 
 
 def test_chat_windows_repeat_system_and_history(spark):
-    data = [(1, 0, "system", "s s")] + [(1, t, "user" if t % 2 else "assistant", "w " * 6) for t in range(1, 7)]
-    got = chat_format.windows(turns(spark, data), budget=20, history=10).orderBy("window").collect()
-    assert len(got) == 2 and got[1].n_repeated == 2  # the system turn and one turn of history
-    assert got[1].formatted.startswith("<s>[INST] system [/INST]s s</s>")
+    data = [(1, 0, "system", "s s")] + [(1, t, "user" if t % 2 else "assistant", "w " * 4) for t in range(1, 7)]
+    got = chat_format.windows(turns(spark, data), budget=22, history=8).orderBy("window").collect()
+    assert [r.n_repeated for r in got] == [0, 3]  # the system turn and two turns of history
+    assert got[1].formatted.startswith("<s>[INST] system [/INST]s s</s><s>[INST] assistant [/INST]w")
     assert [len(w.loss) for w in got] == [1, 2]
 
 
+@pytest.mark.parametrize("budget,history", [(40, 15), (64, 0), (10, 9)])
+def test_chat_windows_keep_the_budget(spark, budget, history):
+    rng = random.Random(budget)
+    data = []
+    for c in range(40):
+        for t in range(rng.randrange(1, 30)):
+            role = "system" if t == 0 and c % 2 else "user" if t % 2 else "assistant"
+            size = rng.choice([0, 1, 3, 8, 20, 45]) if role != "system" else rng.choice([0, 4, 30, 60])
+            data.append((c, t, role, "w " * size))
+    own = collections.Counter()
+    for r in chat_format.windows(turns(spark, data), budget=budget, history=history).collect():
+        parts = [p.split("[INST] ")[1].split(" [/INST]") for p in r.formatted.split("</s>")[:-1]]
+        tokens, system = [len(x.split()) for _, x in parts], parts[0][0] == "system"
+        rest = tokens[1:] if system else tokens
+        assert sum(tokens) <= budget or len(rest) <= 1, (r, tokens)
+        repeated = r.n_repeated - (1 if system and r.n_repeated else 0)
+        assert sum(rest[:repeated]) <= history
+        own[r.conv_id] += len(parts) - r.n_repeated
+    assert own == collections.Counter(d[0] for d in data)
+
+
+def test_short_items_match_whole_texts(spark):
+    bench = spark.createDataFrame([(1, "two words"), (2, "one two three four"), (3, "")], "item_id long, text string")
+    texts = [(1, "One, two three FOUR."), (2, "so one two three four it is"), (3, "two words"), (4, "words two"), (5, ""), (6, None)]
+    assert rows(decontaminate.overlaps(frame(spark, texts), bench), "doc_id", "item_id") == [(1, 2), (3, 1)]
+
+
+def test_overlaps_match_brute_force(spark):
+    """Where masks fit, every pair with a long enough similar stretch on one diagonal is found, and no other."""
+    rng = random.Random(31)
+    items = [(k, prose(900 + k, rng.choice([5, 8, 13, 20, 40, 70]), 300)) for k in range(25)]
+    texts = []
+    for n in range(120):
+        w = prose(2000 + n, rng.randrange(0, 60), 300).split()
+        if n % 2:
+            part = rng.choice(items)[1].split()
+            part = part[: rng.randrange(4, len(part) + 1)]
+            for _ in range(rng.randrange(0, 1 + len(part) // 6)):
+                part[rng.randrange(len(part))] = "z"
+            w[len(w) // 2 : len(w) // 2] = part
+        texts.append((n, " ".join(w)))
+    want = set()
+    for d, text in texts:
+        x = text.split()
+        for i, item in items:
+            y = item.split()
+            least = min(13, len(y))
+            if len(y) < decontaminate.MIN_ITEM:
+                if x == y:
+                    want.add((d, i))
+                continue
+            masks = [[k for k, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS] + ([list(range(len(y)))] if len(y) < decontaminate.SPAN else [])
+            for shift in range(-len(y), len(x)):
+                lo, hi = max(0, shift), min(len(x), shift + len(y))
+                same = [x[k] == y[k - shift] for k in range(lo, hi)]
+                hit = [k for m in masks for k in range(len(same) - m[-1]) if all(same[k + o] for o in m)]
+                if any(10 * sum(same[b:e]) >= 8 * (e - b) for at in hit for b in range(at + 1) for e in range(max(at + 1, b + least), len(same) + 1)):
+                    want.add((d, i))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(want) > 20 and set(rows(decontaminate.overlaps(frame(spark, texts), bench), "doc_id", "item_id")) == want
+
+
 # urls
 
 
@@ -294,6 +365,45 @@ def test_url_parts_and_rules(spark):
     assert url_filter.url_filter(df.limit(0), F.lit(0)).count() == 0
 
 
+def test_registered_domains(spark):
+    hosts = ["a.b.co.uk", "x.co.uk", "co.uk", "u@a.b.org:8080", "b.org", "10.0.0.1:80", "localhost", ""]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r) for r in df.select(*url_filter.host_levels(F.col("host"))).collect()]
+    assert got == [
+        ("b.co.uk", "co.uk"), ("x.co.uk", "co.uk"), ("co.uk", "co.uk"), ("b.org", "org"), ("b.org", "org"), ("10.0.0.1", "10.0.0.1"), ("localhost", "localhost"), ("", ""),
+    ]
+
+
+def test_reputation_matches_a_plain_version(spark):
+    rng = random.Random(3)
+    hosts = [f"{h}.{d}.{s}" for s in ("com", "co.uk") for d in "abc" for h in "xyz"]
+    data = [(h, rng.choice([None, 0, 0, int(rng.random() < 0.1 * (ord(h[2]) - 96))])) for h in hosts for _ in range(rng.randrange(0, 30))]
+    data = data or [("x.a.com", 1)]
+    level = {h: (h, h.split(".", 1)[1], h.split(".", 2)[2]) for h, _ in data}
+    n, b = collections.Counter(), collections.Counter()
+    for h, bad in data:
+        for key in enumerate(level[h]):
+            n[key] += bad is not None
+            b[key] += bad or 0
+    total, bads = sum(v for (k, _), v in n.items() if k == 0), sum(v for (k, _), v in b.items() if k == 0)
+    p = bads / total
+
+    def strength(k):
+        pairs = sum(v * (v - 1) for (i, _), v in n.items() if i == k)
+        same = sum(v * (v - 1) for (i, _), v in b.items() if i == k)
+        rho = (same / pairs - p * p) / (p * (1 - p))
+        return 10000.0 if rho <= 0 else min(max((1 - rho) / rho, 1.0), 10000.0)
+
+    ks = [strength(k) for k in range(3)]
+    for r in url_filter.host_reputation(spark.createDataFrame(data, "host string, bad int")).collect():
+        rate = (bads + 1) / (total + 2)
+        for k in (2, 1, 0):
+            key = (k, level[r.host][k])
+            rate = (b[key] + ks[k] * rate) / (n[key] + ks[k])
+        low = rate - 1.645 * (rate * (1 - rate) / (n[(0, r.host)] + ks[0] + 1)) ** 0.5
+        assert (r.rate, r.low) == (pytest.approx(rate), pytest.approx(low))
+
+
 def test_reputation_shrinks(spark):
     data = [("bad.a.com", 1)] * 30 + [("new.a.com", 1)] + [("good.b.com", 0)] * 200 + [("c.org", None)]
     r = {x.host: x for x in url_filter.host_reputation(spark.createDataFrame(data, "host string, bad int")).collect()}
@@ -352,6 +462,8 @@ def test_license_scan_brute(spark):
         assert 0 <= r.score <= 1
     full = licenses.license_scan(frame(spark, [(1, "a b " + licenses.TEMPLATES[6][1] + " c"), (2, None)])).orderBy("doc_id").collect()
     assert full[0].labels == "bsd" and full[0].score == 1.0 and full[0].spans[0].start == 2
+    twice = licenses.license_scan(frame(spark, [(1, f"{licenses.TEMPLATES[6][1]} and so on {licenses.TEMPLATES[6][1]}")])).first()
+    assert [(s.label, s.start, s.share) for s in twice.spans if s.share == 1.0] == [("bsd", 0, 1.0), ("bsd", len(licenses.TEMPLATES[6][1].split()) + 3, 1.0)]
     assert (full[1].n_words, full[1].labels, full[1].score) == (0, "", 0.0)
 
 
@@ -379,6 +491,15 @@ def test_large_budget_is_met():
         assert int((mixing.fit_budget(lengths, counts, budget) * lengths).sum()) == budget
 
 
+def test_budgets_of_long_documents():
+    fit = lambda lengths, counts, budget: int((mixing.fit_budget(np.array(lengths), np.array(counts), budget) * np.array(lengths)).sum())
+    assert fit([480000], [10], 500000) == 480000
+    assert fit([5, 300000], [1000, 10], 1500000) == 1500000
+    assert fit([140000], [2], 150000) == 140000
+    assert fit([7, 100001, 250000], [10**6, 50, 50], 9_999_999) == 9_999_999
+    assert 0 <= 60_000_041 - fit([20_000_000, 20_000_011, 3], [2, 2, 10], 60_000_100) < 100
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode("utf-32-be")) + [s for s in sizes if s is None]
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
@@ -432,9 +553,11 @@ def brute_chain(x, y):
     return max(f)
 
 
-def test_chain_scores_match_brute_force():
+def test_chain_scores_match_brute_force(monkeypatch):
+    monkeypatch.setattr(chaining, "GAP", 10**6)
+    monkeypatch.setattr(chaining, "SLIP", 10**6)
     rng = random.Random(8)
-    for _ in range(50):
+    for _ in range(80):
         n = rng.randrange(1, 25)
         y = sorted(rng.randrange(60) for _ in range(n))
         x = [rng.randrange(60) for _ in range(n)]
@@ -442,7 +565,58 @@ def test_chain_scores_match_brute_force():
         for c in chaining.chains(x, y):
             assert all(x[a] < x[b] and y[a] < y[b] for a, b in zip(c, c[1:]))
             best = max(best, 10 * len(c) - 0.25 * (x[c[-1]] - x[c[0]] + y[c[-1]] - y[c[0]]))
-        assert best <= brute_chain(x, y) + 1e-9
+        assert best == pytest.approx(brute_chain(x, y))
+
+
+def test_passages_match_brute_force(spark):
+    """Every run of PASSAGE words that another document has is found whole; words that no other document has are not."""
+    rng = random.Random(77)
+    pool = [prose(f"pool {k}", rng.randrange(45, 130), 10**6).split() for k in range(30)]
+    lines = [prose(f"line {k}", 12, 10**6).split() for k in range(4)]
+    texts = []
+    for d in range(160):
+        words = []
+        for k in range(rng.randrange(1, 5)):
+            words += prose(f"{d} {k}", rng.randrange(5, 90), 10**6).split()
+            words += rng.choice(pool) if rng.random() < 0.4 else rng.choice(lines)
+        texts.append((d, " ".join(words)))
+    n = chaining.PASSAGE
+    held = collections.defaultdict(set)
+    for d, t in texts:
+        w = t.split()
+        for k in range(len(w) - n + 1):
+            held[tuple(w[k : k + n])].add(d)
+    cover = {d: np.zeros(len(t.split()), bool) for d, t in texts}
+    for r in chaining.fuzzy_passages(frame(spark, texts)).collect():
+        cover[r.doc_id][r.start_word : r.end_word] = True
+    words = collections.defaultdict(set)
+    for d, t in texts:
+        for x in t.split():
+            words[x].add(d)
+    checked = 0
+    for d, t in texts:
+        w = t.split()
+        for k in range(len(w) - n + 1):
+            if len(held[tuple(w[k : k + n])]) > 1:
+                checked += 1
+                assert cover[d][k : k + n].all(), (d, k)
+        alone = np.array([len(words[x]) == 1 for x in w])
+        for k in range(len(w) - 20):
+            assert not (alone[k : k + 20].all() and cover[d][k : k + 20].all())
+    assert checked > 500
+
+
+@pytest.mark.parametrize("edits,least", [(0.05, 0.97), (0.1, 0.95), (0.15, 0.85)])
+def test_fuzzy_passages_are_recalled(spark, edits, least):
+    rng = random.Random(5)
+    texts = []
+    for t in range(100):
+        p = prose(f"{edits} {t}", 60, 10**6).split()
+        q = [f"e{rng.randrange(10**6)}" if rng.random() < edits else x for x in p]
+        for side, words in enumerate((p, q)):
+            texts.append((2 * t + side, " ".join([prose(f"{t} {side} a", 40, 10**6), *words, prose(f"{t} {side} b", 40, 10**6)])))
+    found = {r.doc_id for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    assert len(found) >= least * len(texts)
 
 
 def test_fuzzy_passages(spark):
@@ -532,6 +706,20 @@ def test_gradients_learn_and_odd_rows(spark):
     assert {r.predicted for r in quality.classify(docs, labels.limit(0)).collect()} == {1}
 
 
+def test_scores_match_those_of_single_texts(spark):
+    texts = [(i, prose(i, 40 + 13 * i) if i % 2 else " | ".join(prose(i, 90).split())) for i in range(60)] + [(100, ""), (101, None), (102, "é " * 5000)]
+    docs, labels = frame(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = quality.fit(*quality.sample_bags(docs, labels, "quality", 1000))
+    got = {r.doc_id: (r.score, r.predicted) for r in quality.classify(docs, labels).collect()}
+    for i, t in texts:
+        x, n = quality.encode([(t or "").encode()])
+        p = float(quality._forward(model, x.astype(float), n)["p"][0])
+        assert got[i][0] == pytest.approx(p, abs=1e-9) and got[i][1] == int(got[i][0] >= 0.7)
+    ids = [str(i).encode() for i, _ in texts]
+    held = {r.doc_id for r in quality.classify(docs, labels).where("held_out").collect()}
+    assert held == {i for (i, _), b in zip(texts, ids) if zlib.crc32(b) % 4 == 2}
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     x, n, y = rng.normal(size=(12, 5)), np.array([3, 4, 5]), np.array([0.0, 1.0, 1.0])

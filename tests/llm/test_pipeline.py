@@ -55,3 +55,40 @@ def test_stages(spark, tmp_path):
 
     out = corpus_pipeline.run(spark, d)
     assert ids(out) <= every - {100, 101, 110, 120} and set(docs.columns) < set(out.columns)
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Rows without ids or with shared ones, repeated rows, clashing columns and empty tables."""
+    d = str(tmp_path)
+    spark.createDataFrame([(1, BENCH), (2, "so short")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    texts = [(None, "same"), (None, "SAME"), (7, "x"), (7, "x"), (7, "y y"), (8, "y y"), (None, BENCH), (9, "so short"), (10, None), (11, ""), (12, "é " * 40000)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    docs = spark.createDataFrame(rows, DOCS)
+    for c in ("size", "target", "taken", "source_size", "n", "rank", "kept", "key", "component_id"):
+        docs = docs.withColumn(c, F.lit("x"))
+    docs.write.parquet(f"{d}/documents.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    pairs = lambda df: collections.Counter((r.doc_id, r.text) for r in df.collect())
+    for name in ("quality", "exact_dedup", "near_dedup", "decontaminate"):
+        assert stages[name](spark, docs, d).columns == docs.columns
+        assert stages[name](spark, docs.limit(0), d).count() == 0
+    assert stages["mix"](spark, docs.limit(0), d).count() == 0
+
+    kept = pairs(stages["exact_dedup"](spark, docs, d))
+    assert [k for k in kept if k[1] and k[1].lower() == "same"] in ([(None, "same")], [(None, "SAME")])
+    del kept[(None, "same")], kept[(None, "SAME")]
+    assert kept == collections.Counter([(7, "x"), (8, "y y"), (None, BENCH), (9, "so short"), (11, ""), (12, "é " * 40000)])
+
+    clean = pairs(stages["decontaminate"](spark, docs, d))
+    assert pairs(docs) - clean == collections.Counter([(None, BENCH), (9, "so short")])
+
+    same = spark.createDataFrame([(None, "w " * 10, "en", "s", 20)] * 100 + [(5, "w " * 40, "en", "t", 80)], DOCS)
+    got = stages["mix"](spark, same, d)
+    assert got.columns == [*DOCS.replace(" long", "").replace(" string", "").split(", "), "size", "source_size", "target", "taken"]
+    taken = collections.Counter()
+    for r in got.collect():
+        taken[r.source] += r.taken
+        assert abs(r.target - {"s": 1480.0, "t": 80.0}[r.source]) < 1e-6
+    assert taken == {"s": 1480, "t": 80}
