@@ -497,7 +497,7 @@ def test_budgets_of_long_documents():
     assert fit([5, 300000], [1000, 10], 1500000) == 1500000
     assert fit([140000], [2], 150000) == 140000
     assert fit([7, 100001, 250000], [10**6, 50, 50], 9_999_999) == 9_999_999
-    assert 0 <= 60_000_041 - fit([20_000_000, 20_000_011, 3], [2, 2, 10], 60_000_100) < 100
+    assert 0 <= 60_000_052 - fit([20_000_000, 20_000_011, 3], [2, 2, 10], 60_000_100) < 100
 
 
 def brute_targets(sizes):
