@@ -211,10 +211,10 @@ WITH c AS (
 ), o AS (
   SELECT *, greatest(1, CASE WHEN room >= {2 * history} THEN room - {history} ELSE room END) AS cell FROM r
 ), k AS (
-  SELECT *, before // cell AS at,
+  SELECT *, before // cell AS slot,
          NOT is_system AND tokens > 0 AND (before + tokens - 1) // cell > before // cell AS alone FROM o
 ), q AS (
-  SELECT *, CASE WHEN room < {budget // 4} THEN pos * 4 + 1 ELSE at * 4 + CASE WHEN alone THEN 2 ELSE 0 END
+  SELECT *, CASE WHEN room < {budget // 4} THEN pos * 4 + 1 ELSE slot * 4 + CASE WHEN alone THEN 2 ELSE 0 END
          + CASE WHEN room >= {2 * history} AND (NOT alone OR tokens + {history} <= room) THEN 0 ELSE 1 END END AS own FROM k
 ), v AS (
   SELECT conv_id, own AS win, min(before) AS start FROM q GROUP BY ALL
