@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,12 +50,21 @@ def unsorted_rows(df: DataFrame, partition: list[str], order: list[str], key: st
     return df.withColumn("_last", F.lag(key).over(w)).where(F.col(key) < F.col("_last")).drop("_last")
 
 
-def suffix_collisions(df: DataFrame, name: str, ident: str) -> DataFrame:
-    """``unique_name``: names that collide regardless of case get the id as a suffix."""
-    same = W.partitionBy(F.lower(name))
-    return df.withColumn(
-        "unique_name", F.when(F.count(F.lit(1)).over(same) > 1, F.concat_ws("-", F.col(name), F.col(ident).cast("string"))).otherwise(F.col(name))
-    )
+def suffix_collisions(df: DataFrame, name: str, ident: str, most: int = 10) -> DataFrame:
+    """``unique_name``: names that collide regardless of case get the id as a suffix, until none collide.
+
+    A suffixed name may be another row's own name; both then get one more. Ids differ, so
+    two rounds settle all but contrived names; ``most`` rounds without success fail.
+    """
+    out = df.withColumn("unique_name", F.col(name))
+    for _ in range(most):
+        n = out.groupBy(F.lower("unique_name").alias("_name")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        if n.isEmpty():
+            return out
+        out = out.join(n, F.lower("unique_name") == F.col("_name"), "left")
+        suffixed = F.concat_ws("-", F.col("unique_name"), F.col(ident).cast("string"))
+        out = out.withColumn("unique_name", F.when(F.col("_n").isNull(), F.col("unique_name")).otherwise(suffixed)).drop("_name", "_n")
+    raise ValueError(f"names still collide after {most} rounds")
 
 
 def top_k(df: DataFrame, partition: list[str], order: list[Column], k: int) -> DataFrame:
@@ -67,14 +78,18 @@ def unfinished(df: DataFrame, key: str, order: list[str], phase: str, started: s
     return df.withColumn("_next", following).where((F.col(phase) == started) & (F.col("_next").isNull() | (F.col("_next") == started))).drop("_next")
 
 
-def planned_ranges(total: int, step: int, done: DataFrame, spark) -> DataFrame:
-    """(start, stop) of byte ranges of ``step`` within the gaps that ``done`` (start, stop) leaves of [0, total)."""
-    edges = done.select("start", "stop").union(spark.createDataFrame([(total, total)], "start long, stop long"))
-    w = W.orderBy("start", "stop")
-    gaps = edges.withColumn("reach", F.coalesce(F.max("stop").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    gaps = gaps.where("start > reach").select(F.col("reach").alias("a"), F.col("start").alias("b"))
-    cut = gaps.select("b", F.explode(F.sequence("a", F.col("b") - 1, F.lit(step))).alias("start"))
-    return cut.select("start", F.least("b", F.col("start") + step).alias("stop"))
+def planned_ranges(files: DataFrame, done: DataFrame, key: str, step: int) -> DataFrame:
+    """(key, start, stop): byte ranges of ``step`` at most in the gaps that ``done`` (key, start, stop) leaves of files (key, total).
+
+    Ranges may overlap and pass the total. Each file is planned on its own.
+    """
+    known = done.join(files, key, "left_semi").select(key, "start", "stop")
+    edges = known.union(files.select(key, F.col("total").alias("start"), F.col("total").alias("stop")))
+    edges = edges.join(files, key).where("start <= total")
+    w = W.partitionBy(key).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
+    gaps = edges.withColumn("reach", F.coalesce(F.max("stop").over(w), F.lit(0))).where("start > reach")
+    cut = gaps.select(key, F.col("start").alias("_end"), F.explode(F.sequence("reach", F.col("start") - 1, F.lit(step))).alias("start"))
+    return cut.select(key, "start", F.least("_end", F.col("start") + step).alias("stop"))
 
 
 def pair_fifo(df: DataFrame, partition: list[str], order: list[str], kind: str, on: str, off: str) -> DataFrame:
@@ -89,12 +104,12 @@ def pair_fifo(df: DataFrame, partition: list[str], order: list[str], kind: str,
 
     def paired(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
-        key, rows, queue = tuple(pdf[c].iloc[0] for c in partition), [], []
+        key, rows, queue = tuple(pdf[c].iloc[0] for c in partition), [], deque()
         for what, when in zip(pdf[kind], pdf[at]):
             if what == on:
                 queue.append(when)
             elif what == off:
-                rows.append((*key, queue.pop(0) if queue else None, when))
+                rows.append((*key, queue.popleft() if queue else None, when))
         rows += [(*key, when, None) for when in queue]
         return pd.DataFrame(rows, columns=schema.names)
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 
 def union_disjoint(parts: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
@@ -42,11 +43,37 @@ def fold_supplements(base: DataFrame, supplements: DataFrame, key: str, value: s
     return base.join(s, key, "left").withColumn(value, F.when(F.col("_s").isNull(), F.col(value)).otherwise(folded)).drop("_s")
 
 
-def shard_report(shards: DataFrame) -> DataFrame:
-    """One row: whether shards (start, stop, rows) are contiguous from 0, disjoint and complete."""
-    return shards.agg(
+def shard_report(shards: DataFrame, total: int | None = None) -> DataFrame:
+    """One row on shards (start, stop): their number, extent, and whether they are disjoint, without gaps and complete.
+
+    Each shard is compared with the farthest stop before it, so an overlap doesn't make
+    up for a gap. Complete shards cover [0, total); without a total their own extent.
+    """
+    before = F.max("stop").over(W.orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1))
+    placed = shards.select("start", "stop", F.coalesce(before, F.col("start")).alias("reach"))
+    complete = F.bool_and(F.col("start") <= F.col("reach"))
+    if total is not None:
+        complete = complete & (F.min("start") <= 0) & (F.max("stop") >= total)
+    return placed.agg(
         F.count(F.lit(1)).alias("shards"),
         F.min("start").alias("first"),
         F.max("stop").alias("last"),
-        (F.sum(F.col("stop") - F.col("start")) == F.max("stop") - F.min("start")).alias("contiguous"),
+        F.bool_and(F.col("start") >= F.col("reach")).alias("disjoint"),
+        F.bool_and(F.col("start") == F.col("reach")).alias("contiguous"),
+        complete.alias("complete"),
     )
+
+
+def edge_changes(old: DataFrame, new: DataFrame, added: DataFrame) -> DataFrame:
+    """Edges (a, b, type) that break an extension: ``lost`` old ones, and ``foreign`` new ones that touch none of ``added`` (id)."""
+    keys = ["a", "b", "type"]
+    lost = old.join(new, keys, "left_anti").select(*keys, F.lit("lost").alias("fault"))
+    fresh = new.join(old, keys, "left_anti")
+    foreign = fresh.join(added.select(F.col("id").alias("a")), "a", "left_anti").join(added.select(F.col("id").alias("b")), "b", "left_anti")
+    return lost.union(foreign.select(*keys, F.lit("foreign").alias("fault")))
+
+
+def is_subset(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: whether every key of ``a`` is in ``b``, and how many aren't."""
+    missing = a.select(key).distinct().join(b.select(key), key, "left_anti")
+    return missing.agg((F.count(F.lit(1)) == 0).alias("subset"), F.count(F.lit(1)).alias("missing"))

@@ -10,10 +10,10 @@ from ..operators import joins as J
 from .registry import query, table
 
 
-@query("""SELECT n_nationkey, r_name AS region, false AS unmapped FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("""SELECT n_nationkey, r_name AS region, r_name IS NULL AS unmapped FROM nation LEFT JOIN (SELECT * FROM region WHERE r_regionkey <> 3) ON n_regionkey = r_regionkey""")
 def must_match_remap(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", F.col("n_regionkey").cast("string").alias("region"))
-    region = table(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("k"), "r_name")
+    region = table(spark, d, "region").where("r_regionkey <> 3").select(F.col("r_regionkey").cast("string").alias("k"), "r_name")
     return J.remap(nation, "region", region, "k", "r_name")
 
 
@@ -120,10 +120,11 @@ def robots_rules(spark, d):
     return facets.robots_allows(rules, table(spark, d, "pages").select(F.col("page_id").alias("url"), path.alias("path")))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+@query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_nationkey <> 7 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def review_overlay(spark, d):
     base = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    reviews = table(spark, d, "customer").where("c_acctbal < 0").select("c_custkey", F.lit("DEBT").alias("c_mktsegment"), "c_nationkey")
+    seen = F.when(F.col("c_nationkey") == 7, 8).otherwise(F.col("c_nationkey"))  # a review of another state has no effect
+    reviews = table(spark, d, "customer").where("c_acctbal < 0").select("c_custkey", F.lit("DEBT").alias("c_mktsegment"), seen.alias("c_nationkey"))
     return J.overlay(base, reviews, "c_custkey", ["c_mktsegment"], guard="c_nationkey").select("c_custkey", "c_mktsegment")
 
 
@@ -152,3 +153,10 @@ def all_or_nothing_relations(spark, d):
     region = table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.lit(True).alias("known"))
     nation = table(spark, d, "nation").join(region, "n_regionkey", "left")
     return J.all_or_nothing(nation, [F.col("known")]).select("n_nationkey", "n_name")
+
+
+@query("""SELECT n_nationkey FROM nation WHERE (SELECT count(*) FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey < 4)) = 0""")
+def all_or_nothing_with_a_bad_row(spark, d):
+    region = table(spark, d, "region").where("r_regionkey < 4").select(F.col("r_regionkey").alias("n_regionkey"), F.lit(True).alias("known"))
+    nation = table(spark, d, "nation").join(region, "n_regionkey", "left")
+    return J.all_or_nothing(nation, [F.col("known")]).select("n_nationkey")

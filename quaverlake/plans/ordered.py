@@ -43,9 +43,13 @@ def sortedness_check(spark, d):
     return O.unsorted_rows(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], ["o_orderkey"], "o_orderdate").select("o_orderkey")
 
 
-@query("""SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY lower(p_name)) > 1 THEN p_name || '-' || p_partkey ELSE p_name END AS unique_name FROM part""")
+@query("""WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 9 = 4 THEN lower(p_name) || '-' || (p_partkey - 1) ELSE p_name END AS n0 FROM part),
+ a AS (SELECT k, CASE WHEN count(*) OVER (PARTITION BY lower(n0)) > 1 THEN n0 || '-' || k ELSE n0 END AS n1 FROM p)
+ SELECT k AS p_partkey, CASE WHEN count(*) OVER (PARTITION BY lower(n1)) > 1 THEN n1 || '-' || k ELSE n1 END AS unique_name FROM a""")
 def collision_suffix(spark, d):
-    return O.suffix_collisions(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "p_partkey").select("p_partkey", "unique_name")
+    before = F.concat_ws("-", F.lower("p_name"), (F.col("p_partkey") - 1).cast("string"))  # what a row before may become
+    names = table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 9 == 4, before).otherwise(F.col("p_name")).alias("name"))
+    return O.suffix_collisions(names, "name", "p_partkey").select("p_partkey", "unique_name")
 
 
 @query("""SELECT c_custkey, c_nationkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer) WHERE rank <= 3""")
@@ -72,10 +76,16 @@ def staff_line_runs(spark, d):
     return O.spacing_runs(rows, ["page"], "y", 5, 1.0)
 
 
-@query("""SELECT * FROM (VALUES (0, 64), (64, 100), (150, 200), (300, 364), (364, 428), (428, 492), (492, 500)) t(start, stop)""")
+@query("""WITH f AS (SELECT c_custkey AS file, 1000 AS total FROM customer), d AS (SELECT o_custkey AS file, o_orderkey % 1000 AS a, o_orderkey % 1000 + 50 AS b FROM orders),
+ u AS (SELECT file, unnest(range(0, 1000)) AS byte FROM f), g AS (SELECT file, byte FROM u WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.file = u.file AND byte >= a AND byte < b)),
+ r AS (SELECT file, byte, byte - row_number() OVER (PARTITION BY file ORDER BY byte) AS run FROM g),
+ w AS (SELECT file, byte, (byte - min(byte) OVER (PARTITION BY file, run)) // 64 AS part, run FROM r)
+ SELECT file, min(byte) AS start, max(byte) + 1 AS stop FROM w GROUP BY file, run, part""")
 def range_gap_plan(spark, d):
-    done = spark.createDataFrame([(100, 150), (120, 140), (200, 300)], "start long, stop long")
-    return O.planned_ranges(500, 64, done, spark)
+    files = table(spark, d, "customer").select(F.col("c_custkey").alias("file"), F.lit(1000).cast("long").alias("total"))
+    at = (F.col("o_orderkey") % 1000).cast("long")
+    done = table(spark, d, "orders").select(F.col("o_custkey").alias("file"), at.alias("start"), (at + 50).alias("stop"))
+    return O.planned_ranges(files, done, "file", 64)
 
 
 @query(r"""SELECT c_custkey FROM customer ORDER BY regexp_replace(lower(c_name), '0*([0-9]+)', '\1'), c_custkey LIMIT 18""")

@@ -85,10 +85,10 @@ def query_string(spark, d):
     return table(spark, d, "pages").select("page_id", page.alias("page")).where("page is not null")
 
 
-@query("""SELECT p_partkey, list_aggregate(list_distinct([p_brand, p_type, p_brand]), 'count')::INT AS n, p_brand || '；' || p_type AS details FROM part WHERE p_brand <> p_type""")
+@query("""SELECT p_partkey, p_brand || '；' || p_type || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '；' || p_name END AS details FROM part""")
 def append_distinct_detail(spark, d):
-    details = X.append_detail(F.concat_ws("；", "p_brand", "p_type"), F.col("p_brand"))
-    return table(spark, d, "part").where("p_brand <> p_type").select("p_partkey", F.size(F.split(details, "；")).alias("n"), details.alias("details"))
+    value = F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise(F.col("p_name"))
+    return table(spark, d, "part").select("p_partkey", X.append_detail(F.concat_ws("；", "p_brand", "p_type"), value).alias("details"))
 
 
 @query("""SELECT o_orderkey, o_orderdate > TIMESTAMP '1995-01-01' AS late, date_diff('day', TIMESTAMP '1992-01-01', o_orderdate)::INT AS days FROM orders""")
@@ -102,10 +102,9 @@ def wrapped_titles(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", X.wrap_title(X.wrap_title(F.col("s_name"))).alias("title"))
 
 
-@query("SELECT doc_id, CASE WHEN octet_length(encode(text)) <= 64 THEN text END AS short FROM documents WHERE octet_length(encode(text)) <= 64")
+@query("SELECT doc_id, left(text, list_max([n FOR n IN range(0, 65) IF strlen(left(text, n)) <= 64])) AS short FROM documents")
 def truncated_utf8(spark, d):
-    cut = X.truncate_utf8(F.col("text"), 64)
-    return table(spark, d, "documents").where(F.octet_length("text") <= 64).select("doc_id", cut.alias("short"))
+    return table(spark, d, "documents").select("doc_id", X.truncate_utf8(F.col("text"), 64).alias("short"))
 
 
 @query("""SELECT p_partkey, replace(replace(p_type, 'STANDARD', 'S'), 'STEEL', 's') AS label, regexp_replace(trim(regexp_replace(lower(p_name), '[-_\\s]+', ' ', 'g')), '\\.(pdf|zip)$', '') AS name FROM part""")

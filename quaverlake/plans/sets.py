@@ -29,10 +29,11 @@ def array_jaccard(spark, d):
     return sets.select("o_custkey", S.jaccard(F.col("a"), F.col("b")).alias("jaccard"))
 
 
-@query(r"""SELECT page_id, list_sort(regexp_extract_all(url, '[0-9]')) = list_sort(regexp_extract_all(reverse(url), '[0-9]')) AS same_digits FROM pages""")
+@query(r"""SELECT page_id, list_sort(regexp_extract_all(url, '[0-9]')) = list_sort(regexp_extract_all((page_id + 800)::VARCHAR || '2', '[0-9]')) AS same_digits FROM pages""")
 def digit_multisets(spark, d):
     digits = lambda c: F.regexp_extract_all(c, F.lit(r"([0-9])"), 1)
-    return table(spark, d, "pages").select("page_id", S.same_multiset(digits(F.col("url")), digits(F.reverse("url"))).alias("same_digits"))
+    other = F.concat((F.col("page_id") + 800).cast("string"), F.lit("2"))
+    return table(spark, d, "pages").select("page_id", S.same_multiset(digits(F.col("url")), digits(other)).alias("same_digits"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'TWICE' WHEN c_custkey % 5 = 0 THEN 'ONCE' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
@@ -45,12 +46,32 @@ def ordered_supplements(spark, d):
 
 
 @query("""WITH s AS (SELECT o_orderkey // 1000 AS k, min(o_orderkey) AS a, max(o_orderkey) + 1 AS b FROM orders GROUP BY 1)
- SELECT count(*) AS shards, min(a) AS first, max(b) AS last, sum(b - a) = max(b) - min(a) AS contiguous FROM s""")
+ , l AS (SELECT *, max(b) OVER (ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM s)
+ SELECT count(*) AS shards, min(a) AS first, max(b) AS last, count(*) FILTER (a < r) = 0 AS disjoint, count(*) FILTER (a <> r) = 0 AS contiguous,
+ count(*) FILTER (a > r) = 0 AS complete FROM l""")
 def shard_completeness(spark, d):
     shards = table(spark, d, "orders").groupBy(F.expr("o_orderkey div 1000").alias("k")).agg(F.min("o_orderkey").alias("start"), (F.max("o_orderkey") + 1).alias("stop"))
     return S.shard_report(shards)
 
 
+@query("""WITH e AS (SELECT l_partkey AS a, l_suppkey AS b, l_returnflag AS type, min(l_linenumber) AS n FROM lineitem GROUP BY ALL),
+ o AS (SELECT a, b, type FROM e WHERE n <> 2), w AS (SELECT a, b, type FROM e WHERE a % 50 <> 1), x AS (SELECT p_partkey AS id FROM part WHERE p_partkey % 3 = 0)
+ SELECT a, b, type, 'lost' AS fault FROM o WHERE a % 50 = 1 UNION ALL
+ SELECT a, b, type, 'foreign' FROM w WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.a = w.a AND o.b = w.b AND o.type = w.type) AND a NOT IN (SELECT id FROM x) AND b NOT IN (SELECT id FROM x)""")
+def edge_set_changes(spark, d):
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_returnflag").alias("type"))
+    edges = lines.agg(F.min("l_linenumber").alias("n"))
+    added = table(spark, d, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("id"))
+    keys = ["a", "b", "type"]
+    return S.edge_changes(edges.where("n <> 2").select(*keys), edges.where("a % 50 <> 1").select(*keys), added)
+
+
+@query("""SELECT count(*) = 0 AS subset, count(*) AS missing FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 13 <> 5))""")
+def subset_verdict(spark, d):
+    known = table(spark, d, "customer").where("c_custkey % 13 <> 5").select(F.col("c_custkey").alias("o_custkey"))
+    return S.is_subset(table(spark, d, "orders"), known, "o_custkey")
+
+
 @query("""SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1) INTERSECT SELECT doc_id FROM labels""")
 def subset_members(spark, d):
     labels = table(spark, d, "labels")

@@ -126,8 +126,25 @@ def test_fifo_pairs(spark):
 
 
 def test_planned_ranges(spark):
-    done = spark.createDataFrame([(10, 20)], "start long, stop long")
-    assert rows(O.planned_ranges(30, 8, done, spark)) == [(0, 8), (20, 28), (28, 30), (8, 10)]
+    files = spark.createDataFrame([("a", 30), ("b", 5), ("c", 10)], "file string, total long")
+    done = spark.createDataFrame([("a", 10, 15), ("a", 12, 20), ("c", 0, 99), ("x", 0, 1)], "file string, start long, stop long")
+    assert rows(O.planned_ranges(files, done, "file", 8)) == [("a", 0, 8), ("a", 20, 28), ("a", 28, 30), ("a", 8, 10), ("b", 0, 5)]
+
+
+def test_names_are_suffixed_until_they_differ(spark):
+    df = spark.createDataFrame([(1, "A"), (2, "a"), (3, "a-2"), (4, "b")], "id int, name string")
+    assert rows(O.suffix_collisions(df, "name", "id").select("id", "unique_name")) == [(1, "A-1"), (2, "a-2-2"), (3, "a-2-3"), (4, "b")]
+
+
+def test_overlaps_dont_make_up_for_gaps(spark):
+    from quaverlake.operators import sets
+
+    df = spark.createDataFrame([(0, 10), (5, 15), (20, 25)], "start long, stop long")
+    r = sets.shard_report(df, 25).first()
+    assert (r.disjoint, r.contiguous, r.complete) == (False, False, False)
+    whole = spark.createDataFrame([(0, 10), (10, 25)], "start long, stop long")
+    assert tuple(sets.shard_report(whole, 25).first()) == (2, 0, 25, True, True, True)
+    assert not sets.shard_report(whole, 26).first().complete
 
 
 def test_osa_counts_a_swap_once(spark):
@@ -181,8 +198,10 @@ def test_checks(spark):
 
 def test_search_ranks_and_numbers(spark):
     df = spark.createDataFrame([(1, "sor", "op 2"), (2, "sor", "op 27"), (3, "giuliani", "sor")], "id int, composer string, title string")
-    df = df.withColumn("metadata", F.lit("")).select("*", *(F.split(c, " ").alias(f"{c}_words") for c in ("composer", "title", "metadata")))
+    df = df.withColumn("metadata", F.lit("")).select("id", *(S.lines(F.array(c)).alias(c) for c in ("composer", "title", "metadata")))
     assert rows(S.exact(df, "op 2").select("id")) == [(1,)]
+    assert rows(S.exact(df, "sor op 27").select("id", "relevance")) == [(2, 0.0 + 3 + 3)]
+    assert rows(S.exact(df, "giuliani").select("id", "relevance")) == [(3, -0.75)]
     assert [r.id for r in S.exact(df, "sor").orderBy("relevance", "id").collect()] == [1, 2, 3]
 
 

@@ -85,10 +85,13 @@ def test_sinks(spark, tmp_path):
     df = spark.range(3)
     sinks.replace_table(df, path)
     sinks.replace_table(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5
+    assert sinks.read_table(spark, path).count() == 5
     assert sinks.append_rows(path, spark.range(5, 7), "id") == 2
     with pytest.raises(ValueError, match="already"):
         sinks.append_rows(path, spark.range(1), "id")
+    with pytest.raises(ValueError, match="repeat"):
+        sinks.append_rows(path, spark.range(20, 21).union(spark.range(20, 21)), "id")
+    assert sorted(r.id for r in sinks.read_table(spark, path).collect()) == list(range(7))
     with pytest.raises(ValueError, match="not published"):
         sinks.publish(df, df, path)
     sinks.write_manifest(df.withColumn("p", F.array(F.lit("a"), F.lit("b"))), str(tmp_path / "m"), "id")
