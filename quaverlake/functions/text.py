@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,19 +30,35 @@ def fold(s: pd.Series) -> pd.Series:
 _LETTERS = str.maketrans({"æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "ß": "ss"})
 
 
+#: Traditional characters of names and music with the simplified ones that they are searched as.
+_VARIANTS = """
+蕭萧 爾尔 羅罗 馬马 亞亚 維维 納纳 貝贝 魯鲁 茲兹 裡里
+裏里 葉叶 華华 薩萨 蘇苏 喬乔 奧奥 費费 德德 達达 漢汉
+謝谢 馮冯 賽赛 寧宁 賈贾 倫伦 萊莱 門门 蘭兰 諾诺 齊齐
+樂乐 鋼钢 練练 習习 變变 圓圆 詠咏 嘆叹 調调
+諧谐 謔谑 夢梦 愛爱 憶忆 淚泪 敘叙 獻献 給给 詩诗 聲声
+長长 風风 與与 豎竖 簫箫 號号 單单 雙双 協协
+麗丽 蓮莲 聖圣 誕诞 莊庄 國国 歐欧 鄉乡 謠谣
+來来 歸归 別别 離离 歡欢 鳥鸟 鵝鹅 鵑鹃 鶴鹤 飛飞 龍龙
+鄧邓 慶庆 後后 黃黄 紅红 綠绿 藍蓝 銀银 滿满 無无 為为
+從从 這这 幾几 歲岁 時时 間间 廣广 場场 邊边 遠远
+選选 節节 組组 編编 絃弦 絲丝 紡纺 織织 線线 終终 續续
+"""
+_SIMPLER = str.maketrans({pair[0]: pair[1] for pair in _VARIANTS.split()})
+
+
 @F.pandas_udf(T.StringType())
 def search_form(s: pd.Series) -> pd.Series:
-    """The form in which texts are searched: folded letters and numbers, one space between words, digits apart."""
+    """The form in which texts are searched: folded letters and numbers, simplified characters, one space between words, digits apart."""
 
     def one(v):
-        if v is None:
-            return None
         v = unicodedata.normalize("NFKD", v)
-        v = "".join(c for c in v if unicodedata.category(c) not in ("Mn", "Sk", "Lm") and c != "·").lower().translate(_LETTERS)
+        v = "".join(c for c in v if unicodedata.category(c) not in ("Mn", "Sk", "Lm") and c != "·").lower().translate(_SIMPLER).translate(_LETTERS)
         v = re.sub(r"(?<=[^\W\d_])(?=\d)|(?<=\d)(?=[^\W\d_])", " ", v)
         return " ".join(re.findall(r"[^\W_]+", v))
 
-    return s.map(one)
+    forms = {v: one(v) for v in s.dropna().unique()}  # a value that repeats in a batch is folded once
+    return pd.Series([forms.get(v) for v in s], dtype=object)
 
 
 @F.pandas_udf(T.IntegerType())
@@ -145,19 +162,39 @@ def safe_text(text: Column) -> Column:
 
 
 def response_class(body: Column) -> Column:
-    """The class of an HTML response by the first phrase that it has."""
+    """The class of an HTML response by the first of the phrases, in this order, that it has."""
     low = F.lower(body)
+    has = lambda *phrases: reduce(lambda a, b: a | b, (F.contains(low, F.lit(p)) for p in phrases))
+    # The phrases and the order in which they decide.
     rules = (
-        ("captcha", "human_check"),
-        ("verify you are human", "human_check"),
-        ("too many requests", "rate_limited"),
-        ("access denied", "denied"),
-        ("not found", "missing"),
-        ("please wait", "wait"),
+        ("human_verification_required", has("verify you are human", "captcha", "bot check")),
+        ("login_required", has("please log in", "login required")),
+        ("membership_wait_pending", wait_seconds(body).isNotNull()),
+        ("membership_required", has("members only", "membership required")),
+        ("copyright_restricted", has("copyright restricted", "not public domain")),
+        ("region_restricted", has("not available in your country", "regional restriction")),
+        ("commercial_only", has("available for purchase", "commercial edition")),
+        ("deleted", has("file has been deleted")),
     )
-    return F.coalesce(*(F.when(F.contains(low, F.lit(phrase)), F.lit(name)) for phrase, name in rules), F.lit("other"))
+    return F.coalesce(*(F.when(cond, F.lit(name)) for name, cond in rules), F.lit("not_a_pdf"))
 
 
 def wait_seconds(body: Column) -> Column:
-    """The seconds that a response asks to wait, or null."""
-    return F.regexp_extract(F.lower(body), r"(\d+)\s*seconds?", 1).try_cast("int")
+    """The seconds after which a response lets one continue or download, or null."""
+    return F.regexp_extract(F.lower(body), r"(?s)(?:continue|download).*?([0-9]+)\s*seconds", 1).try_cast("int")
+
+
+def due(retry_after: Column, now: Column) -> Column:
+    """Whether a retry is due: nothing to wait for, or the time has come."""
+    return retry_after.isNull() | (retry_after <= now)
+
+
+def aware_timestamp(text: Column) -> Column:
+    """A timestamp that says its offset from UTC; null for one that doesn't, or for no time at all."""
+    fits = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$")
+    return F.when(fits, F.try_to_timestamp(text))
+
+
+def canonical_json(text: Column) -> Column:
+    """A JSON text with sorted keys and without blanks; null if it isn't JSON or repeats a key."""
+    return F.to_json(F.try_parse_json(text))

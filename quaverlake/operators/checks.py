@@ -40,3 +40,22 @@ def readiness(found: DataFrame) -> DataFrame:
     """Counts by severity and rule, and whether no error is left."""
     counts = found.groupBy("severity", "rule").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("blocks", F.col("severity") == "error")
+
+
+def fingerprints(df: DataFrame, group: str, key: str, digest: Column, chunk: int = 1000) -> DataFrame:
+    """(group, rows, fingerprint): digests of rows in order of an integer key, chunk by chunk, so that no group is one array."""
+
+    def joined(order: str, text: str) -> Column:
+        return F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda r: r[text]), ""))
+
+    rows = df.select(group, F.col(key).alias("_k"), digest.alias("_d"), F.expr(f"{key} div {chunk}").alias("_chunk"))
+    chunks = rows.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_n"), joined("_k", "_d").alias("_f"))
+    return chunks.groupBy(group).agg(F.sum("_n").alias("rows"), joined("_chunk", "_f").alias("fingerprint"))
+
+
+def compared_fingerprints(now: DataFrame, stored: DataFrame, group: str) -> DataFrame:
+    """(group, state): unchanged, changed, new or gone since the fingerprints were stored."""
+    old = stored.select(group, F.struct("rows", "fingerprint").alias("_old"))
+    both = now.select(group, F.struct("rows", "fingerprint").alias("_new")).join(old, group, "full")
+    state = F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "gone").when(F.col("_old") == F.col("_new"), "unchanged").otherwise("changed")
+    return both.select(group, state.alias("state"))

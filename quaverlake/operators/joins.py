@@ -92,11 +92,23 @@ def two_phase(chunks: DataFrame, metadata: DataFrame, id_column: str, name_colum
     )
 
 
+def _deletions(name: Column, most: int) -> Column:
+    """All texts that are left of a name after ``most`` deletions or fewer, each once."""
+    out = F.array(name)
+    for _ in range(most):
+        shorter = F.transform(out, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, 1, i - 1), F.substr(t, i + 1))))
+        out = F.array_distinct(F.concat(out, F.flatten(shorter)))
+    return out
+
+
 def similar_names(left: DataFrame, right: DataFrame, name: str, most: int, block: Column) -> DataFrame:
-    """Pairs of names within ``most`` edits among rows of one block (an equi join, never all pairs)."""
-    a = left.select(F.col(name).alias("old_name"), block.alias("_block"))
-    b = right.select(F.col(name).alias("new_name"), block.alias("_block"))
-    pairs = a.join(b, "_block").where(F.abs(F.length("old_name") - F.length("new_name")) <= most)
+    """Pairs of names within ``most`` edits among rows of one block.
+
+    Two such names have a text in common that ``most`` deletions leave of each, so the
+    join is on these texts, not on all pairs of a block; distinct names are compared once.
+    """
+    side = lambda df, n: df.select(F.col(name).alias(n), block.alias("_block")).distinct().withColumn("_left", F.explode(_deletions(F.col(n), most)))
+    pairs = side(left, "old_name").join(side(right, "new_name"), ["_block", "_left"]).select("_block", "old_name", "new_name").distinct()
     return pairs.withColumn("distance", F.levenshtein("old_name", "new_name", most)).where(F.col("distance") >= 0).drop("_block")
 
 

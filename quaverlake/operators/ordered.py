@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from collections import deque
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from . import staging
+
 
 def dense_ids(df: DataFrame, order: list[Column], name: str = "id") -> DataFrame:
     """Numbers distinct rows from 0 in a total order.
 
     Range partitions are numbered each on its own and shifted by the counts before them,
-    so no task sees all rows.
+    so no task sees all rows. They are written once, in the shared folder: the counts
+    and the numbers are of the same partitions, also if a lost task runs again.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = F.spark_partition_id().alias("_part")
+    ranged = staging.checkpointed(df.repartitionByRange(*order).select("*", parts))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     own = W.partitionBy("_part").orderBy(*order)
-    out = ranged.withColumn("_k", F.row_number().over(own)).join(F.broadcast(before.select("_part", "_before")), "_part")
+    out = ranged.withColumn("_k", F.row_number().over(own)).join(F.broadcast(before.select("_part", "_before")), "_part")  # a row a partition
     return out.withColumn(name, (F.col("_before") + F.col("_k") - 1).cast("long")).drop("_part", "_k", "_before")
 
 
@@ -96,24 +98,20 @@ def pair_fifo(df: DataFrame, partition: list[str], order: list[str], kind: str,
     """Pairs each ``off`` with the earliest open ``on`` of its partition.
 
     Returns the partition, on_at, off_at (by the first order column); an unmatched event
-    has a null on the other side. A queue per partition, as an off without an open on
-    must not consume a later one.
+    has a null on the other side. The n-th off that finds an open on closes the n-th on;
+    an off finds none where the balance of ons and offs reaches a new low below zero. So
+    running sums give the pairs, and they meet by their number, not in a queue.
     """
     at = order[0]
-    schema = df.select(*partition, F.col(at).alias("on_at"), F.col(at).alias("off_at")).schema
-
-    def paired(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        key, rows, queue = tuple(pdf[c].iloc[0] for c in partition), [], deque()
-        for what, when in zip(pdf[kind], pdf[at]):
-            if what == on:
-                queue.append(when)
-            elif what == off:
-                rows.append((*key, queue.popleft() if queue else None, when))
-        rows += [(*key, when, None) for when in queue]
-        return pd.DataFrame(rows, columns=schema.names)
-
-    return df.where(F.col(kind).isin(on, off)).groupBy(*partition).applyInPandas(paired, schema)
+    w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    is_on = F.col(kind) == on
+    rows = df.where(F.col(kind).isin(on, off)).withColumns({"_ons": F.sum(is_on.cast("int")).over(w), "_offs": F.sum((~is_on).cast("int")).over(w)})
+    rows = rows.withColumn("_lost", F.greatest(F.max(F.col("_offs") - F.col("_ons")).over(w), F.lit(0)))
+    before = F.coalesce(F.lag("_lost").over(W.partitionBy(*partition).orderBy(*order)), F.lit(0))
+    rows = rows.withColumn("_alone", ~is_on & (F.col("_lost") > before))
+    number = F.when(is_on, F.col("_ons")).when(F.col("_alone"), -F.col("_lost")).otherwise(F.col("_offs") - F.col("_lost"))
+    pairs = rows.withColumn("_number", number).groupBy(*partition, "_number")
+    return pairs.agg(F.max(F.when(is_on, F.col(at))).alias("on_at"), F.max(F.when(~is_on, F.col(at))).alias("off_at")).drop("_number")
 
 
 def spacing_runs(df: DataFrame, partition: list[str], at: str, size: int, tolerance: float) -> DataFrame:

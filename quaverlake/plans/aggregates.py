@@ -138,9 +138,10 @@ def series_range(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.min(n).alias("low"), F.max(n).alias("high"), F.sum(n).alias("total"), (F.max(n) - F.min(n)).alias("span"))
 
 
-@query("""SELECT source, list(DISTINCT doc_id ORDER BY doc_id) AS works FROM documents GROUP BY source""")
+@query("""SELECT o_custkey, list(DISTINCT o_orderkey ORDER BY o_orderkey) AS works FROM orders GROUP BY o_custkey""")
 def key_to_set(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.array_sort(F.collect_set("doc_id")).alias("works"))
+    """A key's set is one array: for keys that bound it, such as a file's works. Others stay rows."""
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderkey")).alias("works"))
 
 
 @query(r"""SELECT lang, count(*) FILTER (regexp_matches(text, '[àâçéèêëîïôûùü]')) AS accented, count(*) FILTER (NOT regexp_matches(text, '[àâçéèêëîïôûùü]')) AS plain FROM documents GROUP BY lang""")

@@ -38,8 +38,17 @@ def defect_readiness(spark, d):
     return C.readiness(C.findings(table(spark, d, "documents").select("doc_id", "text"), "doc_id", ["text"], _RULES))
 
 
-@query("""SELECT source, count(*) AS rows, md5(string_agg(sha256(text), '' ORDER BY doc_id)) AS fingerprint FROM documents GROUP BY source""")
+_PRINTS = """c AS (SELECT source, doc_id // 1000 AS part, count(*) AS n, md5(string_agg(sha256(text), '' ORDER BY doc_id)) AS f FROM documents GROUP BY ALL),
+ f AS (SELECT source, sum(n)::BIGINT AS rows, md5(string_agg(f, '' ORDER BY part)) AS fingerprint FROM c GROUP BY source)"""
+
+
+@query(f"WITH {_PRINTS} SELECT * FROM f")
 def input_fingerprint(spark, d):
-    rows = table(spark, d, "documents").select("source", "doc_id", F.sha2("text", 256).alias("s"))
-    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "s"))), lambda r: r["s"]), "")
-    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.md5(ordered).alias("fingerprint"))
+    return C.fingerprints(table(spark, d, "documents"), "source", "doc_id", F.sha2("text", 256))
+
+
+@query(f"""WITH {_PRINTS} SELECT source, CASE WHEN source LIKE '%1' THEN 'changed' WHEN source = 'src0' THEN 'new' ELSE 'unchanged' END AS state FROM f""")
+def stale_fingerprints(spark, d):
+    now = C.fingerprints(table(spark, d, "documents"), "source", "doc_id", F.sha2("text", 256))
+    stored = now.where("source <> 'src0'").withColumn("fingerprint", F.when(F.col("source").endswith("1"), "x").otherwise(F.col("fingerprint")))
+    return C.compared_fingerprints(now, stored, "source")

@@ -159,7 +159,7 @@ def deep_fields(spark, d):
 
 
 @query("""SELECT lang, count(*) AS records, count(*) FILTER (regexp_matches(text, 'é')) AS with_script, count(DISTINCT source) AS attributed, count(*) FILTER (quality IS NULL) AS pending FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
-def script_coverage(spark, d):
+def translation_coverage(spark, d):
     docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return P.coverage(docs, ["lang"], F.col("text").rlike("é"), "source", F.col("quality").isNull())
 

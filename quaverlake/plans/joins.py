@@ -160,3 +160,14 @@ def all_or_nothing_with_a_bad_row(spark, d):
     region = table(spark, d, "region").where("r_regionkey < 4").select(F.col("r_regionkey").alias("n_regionkey"), F.lit(True).alias("known"))
     nation = table(spark, d, "nation").join(region, "n_regionkey", "left")
     return J.all_or_nothing(nation, [F.col("known")]).select("n_nationkey")
+
+
+_ROBOTS = "User-agent: *\nDisallow: /\n\nUser-agent: Reader # ours\nUser-agent: other\nDisallow: /en/\nAllow: /en/7\nDisallow: /*?page=2\nDisallow: /de/1$\nDisallow:\n"
+
+
+@query(r"""WITH u AS (SELECT page_id AS url, regexp_extract(url, '^https?://[^/?#]+([^#]*)', 1) AS t FROM pages)
+ SELECT url, CASE WHEN t LIKE '/%?page=2%' THEN false WHEN t LIKE '/en/7%' THEN true WHEN t LIKE '/en/%' THEN false WHEN t = '/de/1' THEN false ELSE true END AS allowed FROM u""")
+def robots_groups(spark, d):
+    files = spark.createDataFrame([("h", _ROBOTS)], "host string, body string")
+    target = F.regexp_extract("url", r"^https?://[^/?#]+([^#]*)", 1)
+    return facets.robots_verdicts(files, table(spark, d, "pages").select(F.col("page_id").alias("url"), F.lit("h").alias("host"), target.alias("target")), "Reader/1.0")

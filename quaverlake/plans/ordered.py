@@ -64,7 +64,11 @@ def unfinished_attempts(spark, d):
     return O.unfinished(e, "user_id", ["ts", "event_id"], "event_type", "signup").select("event_id")
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, ts, event_id, event_type = 'signup' AS is_on FROM events WHERE event_type IN ('signup', 'error')),
+ r AS (SELECT *, sum(is_on::INT) OVER w AS ons, sum((NOT is_on)::INT) OVER w AS offs FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+ l AS (SELECT *, greatest(max(offs - ons) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0) AS lost FROM r),
+ o AS (SELECT user_id, ts AS on_at, ons AS k FROM l WHERE is_on), f AS (SELECT user_id, ts AS off_at, offs - lost AS k, lost > coalesce(lag(lost) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS alone, is_on FROM l)
+ SELECT user_id, on_at, off_at FROM o LEFT JOIN (SELECT user_id, off_at, k FROM f WHERE NOT is_on AND NOT alone) USING (user_id, k) UNION ALL SELECT user_id, NULL, off_at FROM f WHERE NOT is_on AND alone""")
 def fifo_pairing(spark, d):
     e = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
     return O.pair_fifo(e, ["user_id"], ["ts", "event_id"], "event_type", "signup", "error")
@@ -124,3 +128,102 @@ def html_sections(spark, d):
     from ..sources import markup
 
     return markup.read_sections(table(spark, d, "pages"))
+
+
+@query("""WITH m AS (SELECT s_suppkey::VARCHAR AS score, unnest([1, 2, 3, 2, 4, 5]) AS measure, unnest([0, 1, 2, 3, 4, 5]) AS place FROM supplier WHERE s_suppkey % 2 = 0)
+ SELECT score, place, measure FROM m UNION ALL SELECT s_suppkey::VARCHAR, unnest([0, 1, 2, 3, 4]), unnest([1, 2, 3, 4, 5]) FROM supplier WHERE s_suppkey % 2 = 1""")
+def played_measures(spark, d):
+    from ..operators import notation as N
+
+    even = F.col("s_suppkey") % 2 == 0
+    m = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("score"), even.alias("even"), F.explode(F.expr("sequence(1L, 5L)")).alias("measure"))
+    ending = F.when(F.col("even") & (F.col("measure") == 3), 1).when(F.col("even") & (F.col("measure") == 4), 2)
+    rows = m.select("score", "measure", (F.col("even") & (F.col("measure") == 2)).alias("opens"), (F.col("even") & (F.col("measure") == 3)).alias("closes"), ending.alias("ending"))
+    return N.play_order(rows)
+
+
+@query("""WITH n AS (SELECT user_id AS id, event_id AS start, event_id + 40 AS stop, event_type <> 'error' AS tied FROM events), w AS (SELECT o_custkey AS id, o_orderkey * 0 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, o_orderstatus AS s FROM orders),
+ t AS (SELECT id, k, s, lag(s) OVER (PARTITION BY id ORDER BY k) AS p FROM w), g AS (SELECT *, sum(CASE WHEN s = 'F' AND p IS NOT NULL THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY k) AS n FROM t)
+ SELECT id::VARCHAR AS id, min(k) AS start, max(k) + 1 AS stop FROM g GROUP BY id, n""")
+def tied_notes(spark, d):
+    """A customer's orders as notes that follow each other; finished ones are tied to the one before."""
+    from pyspark.sql import Window as W
+
+    from ..operators import notation as N
+
+    k = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long")
+    notes = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("id"), k.alias("start"), (F.col("o_orderstatus") == "F").alias("tied"))
+    notes = notes.select("id", F.lit(1).alias("staff"), F.lit("1").alias("voice"), F.lit(60).alias("pitch"), "start", (F.col("start") + 1).alias("stop"), "tied")
+    return N.merge_ties(notes).select("id", "start", "stop")
+
+
+@query("""WITH a AS (SELECT l_orderkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, l_linenumber AS p FROM lineitem), d AS (SELECT id, k, CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 1 THEN 12 ELSE k * 12 END AS d FROM a)
+ SELECT id::VARCHAR AS id, CASE WHEN min(d) <> max(d) THEN 'different' WHEN min(d) = 0 THEN 'exact' WHEN min(d) % 12 = 0 THEN 'octave' ELSE 'different' END AS view FROM d GROUP BY 1""")
+def view_comparison(spark, d):
+    from pyspark.sql import Window as W
+
+    from ..operators import notation as N
+
+    k = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    a = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), k.alias("ordinal"), F.col("l_linenumber").cast("int").alias("pitch"))
+    off = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 12).otherwise(F.col("ordinal") * 12)
+    b = a.withColumn("pitch", F.col("pitch") + off)
+    text = lambda df: df.withColumn("id", F.col("id").cast("string"))
+    return N.compare_views(text(a), text(b))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, event_type, event_id // 4 AS tick, event_id % 3 AS track, CASE WHEN event_type = 'signup' THEN event_id % 128 END AS program FROM events),
+ s AS (SELECT *, coalesce(last_value(program IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY tick, track, event_id ROWS UNBOUNDED PRECEDING), 0) AS sounding,
+ bool_or(event_type = 'signup') OVER (PARTITION BY user_id, tick) AS p, min(CASE WHEN event_type IN ('signup', 'view') THEN track END) OVER (PARTITION BY user_id, tick) AS lo,
+ max(CASE WHEN event_type IN ('signup', 'view') THEN track END) OVER (PARTITION BY user_id, tick) AS hi FROM e)
+ SELECT event_id, sounding AS program, p AND lo < hi AS unclear, CASE WHEN event_id % 100 = sounding THEN 'same' WHEN sounding = 0 THEN 'unset' WHEN (event_id % 100) // 8 = sounding // 8 THEN 'family' ELSE 'different' END AS why
+ FROM s WHERE event_type = 'view'""")
+def sounding_programs(spark, d):
+    from ..operators import notation as N
+
+    kind = F.when(F.col("event_type") == "signup", "program").when(F.col("event_type") == "view", "on").otherwise("off")
+    events = table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("id"), (F.col("event_id") % 3).cast("int").alias("track"), F.col("event_id").alias("ordinal"), F.expr("event_id div 4").alias("tick"), kind.alias("kind"),
+        F.lit(0).alias("channel"), F.lit(60).alias("pitch"), F.when(F.col("event_type") == "signup", F.col("event_id") % 128).alias("program"),
+    )
+    out = N.sounding_programs(events)
+    return out.select(F.col("ordinal").alias("event_id"), "program", "unclear", N.explain_programs(F.col("ordinal") % 100, F.col("program")).alias("why"))
+
+
+def _stream(spark, d):
+    """The events table as a stream of files."""
+    from ..streaming import attempts as A
+
+    return A.events(spark, d, pattern="events.parquet")
+
+
+@query("""SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")
+def stream_latest_state(spark, d):
+    from ..streaming import attempts as A
+
+    return A.last_of(A.run(A.latest_state(_stream(spark, d), "user_id", "event_id", ["event_type"]), spark, "update"), ["user_id"])
+
+
+@query("""SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def stream_window_counts(spark, d):
+    from ..streaming import attempts as A
+
+    return A.last_of(A.run(A.windowed_counts(_stream(spark, d)), spark, "update"), ["window_start", "event_type"])
+
+
+@query("""WITH e AS (SELECT user_id AS run, event_id, CASE event_type WHEN 'signup' THEN 'started' WHEN 'click' THEN 'streaming' WHEN 'purchase' THEN 'finished' END AS phase FROM events WHERE event_type IN ('signup', 'click', 'purchase')),
+ p AS (SELECT *, lag(phase) OVER (PARTITION BY run ORDER BY event_id) AS before FROM e)
+ SELECT run, event_id, phase, before FROM p WHERE NOT CASE phase WHEN 'started' THEN before IS NULL OR before = 'finished' WHEN 'streaming' THEN before IS NOT NULL AND before <> 'finished' ELSE before IS NOT NULL AND before <> 'finished' END""")
+def attempt_phase_faults(spark, d):
+    from ..streaming import attempts as A
+
+    phase = F.create_map(*(F.lit(x) for x in ("signup", "started", "click", "streaming", "purchase", "finished")))[F.col("event_type")]
+    rows = table(spark, d, "events").select(F.col("user_id").alias("run"), "event_id", phase.alias("phase")).where("phase is not null")
+    return A.phase_faults(rows, "run", "event_id", "phase")
+
+
+@query("""SELECT p_name AS member, count(DISTINCT p_type) AS contents, count(*) AS deliveries FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
+def redelivery_conflicts(spark, d):
+    from ..streaming import attempts as A
+
+    return A.conflicts(table(spark, d, "part"), "p_name", "p_type").withColumnRenamed("p_name", "member")

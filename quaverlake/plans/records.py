@@ -135,3 +135,70 @@ def changed_inputs(spark, d):
     scan = s.select("s_suppkey", F.concat(F.col("s_suppkey").cast("string"), F.lit(".bin")).alias("path"), F.lit(3).alias("size"), F.lit(1).alias("modified"), F.sha2("s_name", 256).alias("sha256"))
     after = scan.withColumns({"path": F.when(n == 0, F.replace("path", F.lit(".bin"), F.lit(".new"))).otherwise(F.col("path")), "modified": F.when(n.isin(1, 2), 2).otherwise(1), "sha256": F.when(n == 1, "x").otherwise(F.col("sha256"))})
     return R.changed_files(scan, after)
+
+
+def _midi(spark, d):
+    """A MIDI file a user: an on at each signup, an off at each error, at the event's number as tick; broken for users by 10."""
+    import struct
+
+    import pandas as pd
+
+    def files(pdf: pd.DataFrame) -> pd.DataFrame:
+        def number(n):
+            out = [n & 127]
+            while n := n >> 7:
+                out.insert(0, n & 127 | 128)
+            return bytes(out)
+
+        pdf, last, track = pdf.sort_values("event_id"), 0, b"\x00\xc0\x18"
+        for at, kind in zip(pdf.event_id, pdf.event_type):
+            track += number(int(at) - last) + bytes([0x90, 60, 64 if kind == "signup" else 0])
+            last = int(at)
+        user = int(pdf.user_id.iloc[0])
+        track = track + b"\x00\xff\x2f\x00" if user % 10 else b"\x00\x40\x40"
+        body = b"MThd" + struct.pack(">IHHH", 6, 0, 1, 96) + b"MTrk" + struct.pack(">I", len(track)) + track
+        return pd.DataFrame({"id": [str(user)], "body": [body]})
+
+    events = table(spark, d, "events").where("event_type in ('signup', 'error')").select("user_id", "event_id", "event_type")
+    return events.groupBy("user_id").applyInPandas(files, "id string, body binary")
+
+
+@query("""SELECT user_id::VARCHAR AS id, event_id AS tick, CASE event_type WHEN 'signup' THEN 'on' ELSE 'off' END AS kind, NULL AS issue FROM events WHERE event_type IN ('signup', 'error') AND user_id % 10 <> 0
+ UNION ALL SELECT DISTINCT user_id::VARCHAR, 0, 'program', NULL FROM events WHERE event_type IN ('signup', 'error') AND user_id % 10 <> 0
+ UNION ALL SELECT DISTINCT user_id::VARCHAR, NULL, NULL, 'ValueError: data byte without a status' FROM events WHERE event_type IN ('signup', 'error') AND user_id % 10 = 0""")
+def midi_file_events(spark, d):
+    from ..sources import music
+
+    return music.read_midi(_midi(spark, d)).select("id", "tick", "kind", "issue")
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, 0 AS measure, 0.0::DOUBLE AS onset, 60 + p_size % 3 - 1 - 12 AS pitch, 'A' AS voice, NULL AS issue FROM part WHERE p_partkey % 20 <> 0
+ UNION ALL SELECT p_partkey::VARCHAR, 0, 1.5, 64 - 12, 'A', NULL FROM part WHERE p_partkey % 20 <> 0 UNION ALL SELECT p_partkey::VARCHAR, 1, 3.0, 62 - 12, 'B', NULL FROM part WHERE p_partkey % 20 <> 0
+ UNION ALL SELECT p_partkey::VARCHAR, NULL, NULL, NULL, NULL, 'ParseError' FROM part WHERE p_partkey % 20 = 0""")
+def score_notes(spark, d):
+    from ..sources import music
+
+    note = lambda step, alter, duration, voice: (
+        f"<note><pitch><step>{step}</step><alter>{alter}</alter><octave>4</octave></pitch><duration>{duration}</duration><voice>{voice}</voice></note>"
+    )
+    head = "<score-partwise><part id='P1'><measure><attributes><divisions>2</divisions><transpose><chromatic>0</chromatic><octave-change>-1</octave-change></transpose></attributes>"
+    alter = (F.col("p_size") % 3 - 1).cast("string")
+    parts = note("C", "%s", 3, "A").split("%s")
+    tail = note("E", 0, 3, "A") + "</measure><measure>" + note("D", 0, 1, "B") + "</measure></part></score-partwise>"
+    xml = F.concat(F.lit(head + parts[0]), alter, F.lit(parts[1] + tail), F.when(F.col("p_partkey") % 20 == 0, "<").otherwise(""))
+    out = music.read_notes(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), xml.cast("binary").alias("body")))
+    onset = F.col("onset_num") / F.col("onset_den")
+    return out.select("id", "measure", onset.alias("onset"), "pitch", "voice", F.substring_index("issue", ":", 1).alias("issue"))
+
+
+@query("""SELECT p_partkey AS page_id, CASE WHEN p_partkey % 9 <> 0 THEN 'Works/' || p_type END AS heading, CASE WHEN p_partkey % 9 <> 0 THEN 'File|name=' || p_name || '{{x|}}' END AS chunk,
+ CASE WHEN p_partkey % 9 = 0 THEN 'template without an end' END AS issue FROM part""")
+def wikitext_files(spark, d):
+    from ..sources import markup
+
+    text = F.concat(
+        F.lit("==Other==\n{{Filed|a}}\n<!-- {{File|no}} -->\n==Works==\n=== "), "p_type", F.lit(" ===\n{{File|name="), "p_name", F.lit("{{x|}}"), F.when(F.col("p_partkey") % 9 == 0, "}").otherwise("}}"),
+        F.lit("\n==End==\n"),
+    )
+    out = markup.read_wikitext(table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), text.alias("wikitext")))
+    return out.select("page_id", F.when(F.col("headings").isNotNull(), F.array_join("headings", "/")).alias("heading"), "chunk", "issue")

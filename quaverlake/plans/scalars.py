@@ -32,11 +32,49 @@ def composer_key(spark, d):
     return table(spark, d, "customer").select("c_custkey", X.composer_key(name).alias("key"))
 
 
-@query(r"""SELECT page_id, html_class FROM (SELECT page_id, CASE WHEN contains(lower(html), 'captcha') OR contains(lower(html), 'verify you are human') THEN 'human_check'
- WHEN contains(lower(html), 'too many requests') THEN 'rate_limited' WHEN contains(lower(html), 'access denied') THEN 'denied' WHEN contains(lower(html), 'not found') THEN 'missing'
- WHEN contains(lower(html), 'please wait') THEN 'wait' ELSE 'other' END AS html_class FROM pages)""")
+_RESPONSES = {
+    "<p>Verify you are HUMAN, or log": "human_verification_required", "Please log in": "login_required", "You may download this in\n 15 seconds": "membership_wait_pending", "Members only; continue": "membership_required",
+    "not public domain": "copyright_restricted", "Not available in your country": "region_restricted", "commercial edition": "commercial_only", "The requested file has been deleted": "deleted", "hello": "not_a_pdf",
+    "captcha; please log in": "human_verification_required",
+}
+
+
+@query(f"""SELECT page_id, {list(_RESPONSES.values())}[page_id % 10 + 1] AS html_class, CASE WHEN page_id % 10 = 2 THEN 15 END AS wait FROM pages""")
 def response_classes(spark, d):
-    return table(spark, d, "pages").select("page_id", X.response_class(F.col("html")).alias("html_class"))
+    body = F.concat(F.element_at(F.array(*map(F.lit, _RESPONSES)), (F.col("page_id") % 10 + 1).cast("int")), F.lit("</p>"))
+    return table(spark, d, "pages").select("page_id", X.response_class(body).alias("html_class"), X.wait_seconds(body).alias("wait"))
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN ts - INTERVAL 2 HOUR END AS at, event_id % 3 <> 0 OR ts - INTERVAL 2 HOUR <= TIMESTAMP '2024-01-05' AS due FROM events""")
+def aware_timestamps(spark, d):
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    n = F.col("event_id") % 3
+    at = X.aware_timestamp(F.when(n == 0, F.concat(text, F.lit("+02:00"))).when(n == 1, text).otherwise("soon"))
+    return table(spark, d, "events").select("event_id", at.alias("at"), X.due(at, F.lit("2024-01-05").cast("timestamp")).alias("due"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE '{"a":[1,{"x":null,"z":"é"}],"k":' || (json_extract(props, '$.k'))::VARCHAR || '}' END AS doc FROM events""")
+def canonical_documents(spark, d):
+    raw = F.concat(F.lit('{ "k": '), F.get_json_object("props", "$.k"), F.lit(', "a" : [1, {"z": "\\u00e9", "x": null}]'), F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.lit("}")))
+    return table(spark, d, "events").select("event_id", X.canonical_json(raw).alias("doc"))
+
+
+_FORMS = {"Op.27 Nº2": "op 27 no 2", "Étude—À la façon": "etude a la facon", "練習曲·蕭邦": "练习曲萧邦", "Łódź ﬁne ß": "lodz fine ss", "  ": "", "Sor2Giuliani": "sor 2 giuliani"}
+
+
+@query(f"""SELECT c_custkey, {list(_FORMS.values())}[c_custkey % {len(_FORMS)} + 1] AS form FROM customer""")
+def search_forms(spark, d):
+    text = F.element_at(F.array(*map(F.lit, _FORMS)), (F.col("c_custkey") % len(_FORMS) + 1).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", X.search_form(text).alias("form"))
+
+
+_OSA = {("ca", "abc"): 3, ("sor", "sro"): 1, ("etude", "etude"): 0, ("", "ab"): 2, ("giuliani", "guiliain"): 2, ("abcdef", "badcfe"): 3}
+
+
+@query(f"""SELECT s_suppkey, {list(_OSA.values())}[s_suppkey % {len(_OSA)} + 1]::INT AS distance FROM supplier""")
+def osa_distances(spark, d):
+    side = lambda n: F.element_at(F.array(*(F.lit(k[n]) for k in _OSA)), (F.col("s_suppkey") % len(_OSA) + 1).cast("int"))
+    return table(spark, d, "supplier").select("s_suppkey", X.osa_distance(side(0), side(1)).alias("distance"))
 
 
 @query(r"""SELECT doc_id, NOT regexp_matches(text, '(?i)[\w.+-]+@[\w-]+\.\w+|https?://|www\.|\+?\d[\d ()-]{8,}\d|/(home|users)/|[a-z]:\\') AS safe FROM documents""")

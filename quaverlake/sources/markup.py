@@ -10,49 +10,55 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 _HEADING = re.compile(r"^(={2,6})\s*(.*?)\s*\1\s*$")
+#: Names of templates that hold a file.
+TEMPLATES = ("file", "#fte:imslpfile")
 
 
-def file_chunks(wikitext: str) -> Iterator[tuple[list[str], str]]:
-    """(headings above, template body) of each file template; braces are balanced."""
+def _template_end(text: str, at: int) -> int:
+    """The position after the template that begins at ``at``; braces are balanced."""
+    depth = 0
+    for m in re.compile(r"\{\{|\}\}").finditer(text, at):
+        depth += 1 if m[0] == "{{" else -1
+        if not depth:
+            return m.end()
+    raise ValueError("template without an end")
+
+
+def file_chunks(wikitext: str, templates: tuple[str, ...] = TEMPLATES) -> Iterator[tuple[list[str], str]]:
+    """(headings above, template body) of each template whose name is one of ``templates``, case aside.
+
+    Comments count as nothing. A name ends at a bar, a line end or the template's end.
+    """
+    text = re.sub(r"(?s)<!--.*?(?:-->|$)", "", wikitext)
+    names = "|".join(map(re.escape, templates))
+    spot = re.compile(rf"(?im)^(?:={{2,6}}).*$|\{{\{{\s*(?:{names})\s*(?=\||\n|\}}\}})")
     stack: list[tuple[int, str]] = []
     at = 0
-    while at < len(wikitext):
-        line_end = wikitext.find("\n", at)
-        line_end = len(wikitext) if line_end < 0 else line_end
-        m = _HEADING.match(wikitext[at:line_end])
-        if m:
-            level = len(m[1])
-            stack = [s for s in stack if s[0] < level] + [(level, m[2])]
-            at = line_end + 1
-        elif wikitext.startswith("{{", at) and wikitext[at + 2 :].lstrip().lower().startswith(("file", "#fte:")):
-            depth, end = 0, at
-            while end < len(wikitext):
-                if wikitext.startswith("{{", end):
-                    depth, end = depth + 1, end + 2
-                elif wikitext.startswith("}}", end):
-                    depth, end = depth - 1, end + 2
-                    if not depth:
-                        break
-                else:
-                    end += 1
-            if depth:
-                raise ValueError("template without an end")
-            yield [h for _, h in stack], wikitext[at + 2 : end - 2]
-            at = end
+    while m := spot.search(text, at):
+        if m[0].startswith("{{"):
+            at = _template_end(text, m.start())
+            yield [h for _, h in stack], text[m.start() + 2 : at - 2]
         else:
-            braces = wikitext.find("{{", at + 1, line_end)
-            at = braces if braces > 0 else line_end + 1
+            if h := _HEADING.match(m[0]):
+                level = len(h[1])
+                stack = [s for s in stack if s[0] < level] + [(level, h[2])]
+            at = m.end() + 1
 
 
-def read_wikitext(pages: DataFrame) -> DataFrame:
-    """File chunks of pages (page_id, wikitext) with their headings."""
+def read_wikitext(pages: DataFrame, templates: tuple[str, ...] = TEMPLATES) -> DataFrame:
+    """File chunks of pages (page_id, wikitext) with their headings; a page that can't be read gives one row with its issue."""
 
     def rows_of(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
-            rows = [(p, k, h, b) for p, w in zip(pdf.page_id, pdf.wikitext) for k, (h, b) in enumerate(file_chunks(w or ""))]
-            yield pd.DataFrame(rows, columns=["page_id", "place", "headings", "chunk"])
-
-    return pages.select("page_id", "wikitext").mapInPandas(rows_of, "page_id long, place int, headings array<string>, chunk string")
+            rows = []
+            for p, w in zip(pdf.page_id, pdf.wikitext):
+                try:
+                    rows += [(p, k, h, b, None) for k, (h, b) in enumerate(list(file_chunks(w or "", templates)))]
+                except ValueError as e:
+                    rows.append((p, None, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["page_id", "place", "headings", "chunk", "issue"], dtype=object)
+
+    return pages.select("page_id", "wikitext").mapInPandas(rows_of, "page_id long, place int, headings array<string>, chunk string, issue string")
 
 
 class _Sections(HTMLParser):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +30,16 @@ def csv_strict(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
     Further columns are allowed and dropped; a byte order mark is not part of the first name.
     """
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.where("block = 0").withColumn("n", F.monotonically_increasing_id())
+    first = lines.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    heads = first.select(F.regexp_replace("header", "^\ufeff", "").alias("header")).distinct().limit(2).collect()
+    if not heads:
         raise ValueError(f"no header in {path}")
-    header = [c.strip().strip('"') for c in first[0][0].lstrip("﻿").split(",")]
+    if len(heads) > 1:
+        raise ValueError(f"files of {path} have different headers: {[r.header for r in heads]}")
+    header = next(csv.reader([heads[0].header]))
+    header = [c.strip() for c in header]
     missing = [c for c in columns if c not in header]
     if missing or len(set(header)) != len(header):
         raise ValueError(f"header of {path} lacks {missing}" if missing else f"header of {path} repeats a name")
@@ -52,9 +60,10 @@ def registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def by_category(spark: SparkSession, paths: dict[str, str], schema: str) -> DataFrame:
-    """JSON lists of several files with the name under which each is listed."""
-    out = None
-    for name, path in paths.items():
-        part = json_documents(spark, path, schema).withColumn("category", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """JSON lists of several files, in one scan, with the name under which each is listed."""
+    files = {path.rstrip("/").rsplit("/", 1)[-1]: name for name, path in paths.items()}
+    if len(files) < len(paths):
+        raise ValueError("two categories in files of one name")
+    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(list(paths.values()))
+    names = F.create_map(*(F.lit(x) for pair in files.items() for x in pair))
+    return rows.withColumn("category", names[F.element_at(F.split(F.input_file_name(), "/"), -1)])

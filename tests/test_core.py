@@ -164,7 +164,7 @@ def test_text_functions(spark):
     assert one(spark, X.plain_link(F.lit("[[A|B]] c.pdf"))) == "B c"
     assert one(spark, X.truncate_utf8(F.lit("aé"), 2)) == "a"
     assert one(spark, X.wrap_title(F.lit("《x》"))) == "《x》"
-    assert one(spark, X.wait_seconds(F.lit("Please wait 15 seconds"))) == 15
+    assert one(spark, X.wait_seconds(F.lit("Continue in 30 seconds"))) == 30
     assert one(spark, X.safe_text(F.lit("write to a.b@c.org"))) is False
     assert spark.createDataFrame([("cafÃ©",)], "t string").select(X.repair_latin1("t")).first()[0] == "café"
 
@@ -224,3 +224,43 @@ def test_streams(spark, tmp_path, mode):
     assert got.count() > 0
     if mode == "update":
         assert {(r.user_id, r.event_id) for r in got.collect()} == {(0, 8), (1, 7)}
+
+
+def test_fifo_matches_a_queue(spark):
+    import random
+
+    rng, data, want = random.Random(3), [], []
+    for key in range(20):
+        queue = []
+        for at in range(rng.randrange(1, 40)):
+            kind = rng.choice(["on", "off"])
+            data.append((key, at, kind))
+            if kind == "on":
+                queue.append(at)
+            else:
+                want.append((key, queue.pop(0) if queue else None, at))
+        want += [(key, at, None) for at in queue]
+    df = spark.createDataFrame(data, "k int, at int, kind string")
+    assert rows(O.pair_fifo(df, ["k"], ["at"], "kind", "on", "off")) == sorted(want, key=repr)
+
+
+def test_similar_names_are_all_found(spark):
+    import random
+
+    from quaverlake.operators import joins
+
+    rng = random.Random(4)
+    names = [["".join(rng.choice("abc") for _ in range(rng.randrange(0, 7))) for _ in range(60)] for _ in range(2)]
+    side = lambda n: spark.createDataFrame([(x,) for x in names[n]], "name string")
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for most in (1, 2):
+        got = {tuple(r) for r in joins.similar_names(side(0), side(1), "name", most, F.lit(0)).collect()}
+        assert got == {(a, b, distance(a, b)) for a in names[0] for b in names[1] if distance(a, b) <= most}
