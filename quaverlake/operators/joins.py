@@ -79,17 +79,39 @@ def changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -
 def two_phase(chunks: DataFrame, metadata: DataFrame, id_column: str, name_column: str) -> DataFrame:
     """Matches by id first; what is left by name, where exactly one candidate has it.
 
-    Returns the chunk's columns with matched_id and outcome (id, name, ambiguous, missing).
+    Returns the chunk's columns with matched_id and outcome: id, conflict (the id is
+    known under another name, so nothing is matched), name, ambiguous or missing.
     """
     m = metadata.select(F.col(id_column).alias("_id"), F.col(name_column).alias("_name"))
-    by_id = chunks.join(m.select(F.col("_id").alias(id_column), F.lit(1).alias("_hit")).distinct(), id_column, "left")
+    ids = m.groupBy(F.col("_id").alias(id_column)).agg(F.collect_set("_name").alias("_named"))  # an id has few names
+    by_id = chunks.join(ids, id_column, "left")
     names = m.groupBy("_name").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_only"))
     out = by_id.join(names, by_id[name_column] == names["_name"], "left")
-    return out.select(
-        *chunks.columns,
-        F.when(F.col("_hit") == 1, F.col(id_column)).when(F.col("_n") == 1, F.col("_only")).alias("matched_id"),
-        F.when(F.col("_hit") == 1, "id").when(F.col("_n") == 1, "name").when(F.col("_n") > 1, "ambiguous").otherwise("missing").alias("outcome"),
-    )
+    same = F.col(name_column).isNull() | F.array_contains("_named", F.col(name_column))
+    conflict = F.col("_named").isNotNull() & ~same
+    outcome = F.when(conflict, "conflict").when(F.col("_named").isNotNull(), "id").when(F.col("_n") == 1, "name").when(F.col("_n") > 1, "ambiguous").otherwise("missing")
+    matched = F.when(outcome == "id", F.col(id_column)).when(outcome == "name", F.col("_only"))
+    return out.select(*chunks.columns, matched.alias("matched_id"), outcome.alias("outcome"))
+
+
+def matched_once(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """Pairs whose left and right rows are in no other pair."""
+    one = lambda c: pairs.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select(c)
+    return pairs.join(one(left), left, "left_semi").join(one(right), right, "left_semi")
+
+
+def by_precedence(left: DataFrame, right: DataFrame, left_id: str, right_id: str, levels: list[list[str]]) -> DataFrame:
+    """(left_id, right_id, level): rows that agree on the first list of columns on which exactly one right row agrees.
+
+    Each level is an equi join with the right rows that its columns name alone; a level
+    with null columns doesn't match.
+    """
+    out = left.select(left_id)
+    for n, columns in enumerate(levels):
+        one = right.groupBy(*columns).agg(F.count(F.lit(1)).alias("_k"), F.min(right_id).alias(f"_{n}")).where("_k = 1").drop("_k")
+        out = out.join(left.join(one, columns).select(left_id, f"_{n}"), left_id, "left")
+    found = F.coalesce(*(F.when(F.col(f"_{n}").isNotNull(), F.struct(F.col(f"_{n}").alias("id"), F.lit(n).alias("level"))) for n in range(len(levels))))
+    return out.select(left_id, found["id"].alias(right_id), found["level"].alias("level"))
 
 
 def _deletions(name: Column, most: int) -> Column:

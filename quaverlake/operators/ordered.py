@@ -46,6 +46,20 @@ def merge_intervals(df: DataFrame, partition: list[str], start: str, stop: str,
     ).drop("_island")
 
 
+def covered_share(intervals: DataFrame, partition: list[str], start: str, stop: str, tolerance, width: str) -> DataFrame:
+    """Per group the share of its width that merged intervals cover."""
+    merged = merge_intervals(intervals.select(*partition, start, stop), partition, start, stop, tolerance)
+    own = merged.groupBy(*partition).agg(F.sum(F.col(stop) - F.col(start)).alias("_covered"))
+    return intervals.groupBy(*partition).agg(F.max(width).alias("_width")).join(own, partition).select(*partition, (F.col("_covered") / F.col("_width")).alias("share"))
+
+
+def numbered_attempts(df: DataFrame, key: str, order: list[str], phase: str, started: str = "started") -> DataFrame:
+    """Adds ``attempt``: the number of starts so far, 0 before the first, and whether the row is its key's latest."""
+    w = W.partitionBy(key).orderBy(*order)
+    number = F.sum((F.col(phase) == started).cast("int")).over(w)
+    return df.withColumns({"attempt": number.cast("int"), "latest": F.lead(phase).over(w).isNull()})
+
+
 def unsorted_rows(df: DataFrame, partition: list[str], order: list[str], key: str) -> DataFrame:
     """Rows whose key is smaller than the one before."""
     w = W.partitionBy(*partition).orderBy(*order)

@@ -113,3 +113,44 @@ def extraction_decision(rows: DataFrame, rules: list[tuple[str, str, Column]]) -
     reason = facets.first_reason(*((r, c) for r, _, c in rules))
     disposition = F.coalesce(*(F.when(reason == r, F.lit(d)) for r, d, _ in rules), F.lit("manual_review"))
     return rows.withColumns({"reason_code": F.coalesce(reason, F.lit("no_rule")), "disposition": disposition})
+
+
+def file_reason(name: Column, heading: Column, kinds: list[str], part_words: list[str], heading_words: list[str], wanted: Column) -> Column:
+    """Why a file isn't a score of the wanted kind, or null: its type, its name (a part), its heading, or its work."""
+    extension = F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
+    word = lambda text, words: text.rlike(rf"(?i)\b(?:{'|'.join(words)})\b")
+    return facets.first_reason(
+        ("file_type", ~extension.isin(*kinds)), ("part", word(name, part_words)), ("heading", word(F.coalesce(heading, F.lit("")), heading_words)), ("work", ~F.coalesce(wanted, F.lit(False)))
+    )
+
+
+def view_of(query: str, filters: dict[str, str | None]) -> str:
+    """Which view a request is for: categories while there is neither a query nor a category or topic, else works."""
+    chosen = [v for k, v in filters.items() if k in ("category", "topic") and v not in (None, "all")]
+    return "works" if query.strip() or chosen else "categories"
+
+
+def related(raw: Column, mark: str, role: str) -> Column:
+    """array of struct(id, role) of the objects at any depth of a JSON text that have the key ``mark``.
+
+    A role holds for its object and those below it that have none of their own.
+    """
+    # Parsing sorts the keys; this one is put first, so that an object's role is known before what stands in it.
+    flat = F.to_json(F.try_parse_json(F.regexp_replace(raw, rf'"{role}"(\s*:)', f'"!{role}"$1')))
+    role = f"!{role}"
+    found = F.regexp_extract_all(flat, F.lit(rf'("{mark}":"(?:[^"\\\\]|\\\\.)*"|"{role}":"(?:[^"\\\\]|\\\\.)*"|[{{}}])'), 1)
+    value = lambda token, key: F.substring(token, len(key) + 5, 1 << 20)
+    text = lambda token, key: F.regexp_replace(value(token, key), '"$', "")
+    start = F.struct(F.array(F.lit(None).cast("string")).alias("roles"), F.expr("cast(array() as array<struct<id:string,role:string>>)").alias("out"))
+    own = lambda a: F.element_at(a["roles"], -1)
+
+    def step(a, token):
+        rest = F.slice(a["roles"], 1, F.greatest(F.size(a["roles"]) - 1, F.lit(0)))
+        return (
+            F.when(token == "{", F.struct(F.array_append(a["roles"], own(a)).alias("roles"), a["out"].alias("out")))
+            .when(token == "}", F.struct(rest.alias("roles"), a["out"].alias("out")))
+            .when(token.startswith(f'"{role}":'), F.struct(F.array_append(rest, text(token, role)).alias("roles"), a["out"].alias("out")))
+            .otherwise(F.struct(a["roles"].alias("roles"), F.array_append(a["out"], F.struct(text(token, mark).alias("id"), own(a).alias("role"))).alias("out")))
+        )
+
+    return F.aggregate(found, start, step)["out"]

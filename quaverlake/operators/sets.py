@@ -15,9 +15,24 @@ def union_disjoint(parts: list[DataFrame], key: str) -> tuple[DataFrame, DataFra
     return out, out.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def append_new(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Old rows and those new ones whose key is not there yet."""
-    return old.unionByName(new.join(old.select(key), key, "left_anti").select(*old.columns))
+def append_new(old: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(old and new rows, keys that the new rows repeat or that are there already); with such keys nothing should be appended."""
+    repeats = new.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    clash = new.join(old.select(key), key, "left_semi").select(key).union(repeats).distinct()
+    return old.unionByName(new.select(*old.columns)), clash
+
+
+def same_set(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: whether two sets of keys are equal, and how many each has alone."""
+    x = a.select(key, F.lit(1).alias("_a")).distinct()
+    both = x.join(b.select(key, F.lit(1).alias("_b")).distinct(), key, "full")
+    out = both.agg(F.count_if(F.col("_b").isNull()).alias("left_only"), F.count_if(F.col("_a").isNull()).alias("right_only"))
+    return out.select(((F.col("left_only") == 0) & (F.col("right_only") == 0)).alias("equal"), "left_only", "right_only")
+
+
+def first_seen(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Each key with the place where it came first; an aggregate, so a frequent key leaves each task once."""
+    return df.groupBy(key).agg(F.min(F.struct(*order)).alias("first")).select(key, "first.*")
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -187,3 +187,20 @@ def forbidden_keys(spark, d):
 def accepted_records(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return D.accepted(orders, D.preservation(orders, orders.where("o_orderkey % 17 <> 0"), "o_orderkey", ["o_orderstatus"]), "o_orderkey").select("o_orderkey")
+
+
+_FILES = {"Sonata.pdf": None, "Sonata.zip": "file_type", "Sonata - guitar part.PDF": "part", "b.pdf": "heading", "c": "file_type"}
+
+
+@query(f"SELECT c_custkey, coalesce({_sql(_FILES.values())}[c_custkey % 5 + 1], CASE WHEN c_acctbal < 0 THEN 'work' END) AS reason FROM customer")
+def file_reasons(spark, d):
+    name = _pick(F.col("c_custkey"), list(_FILES))
+    reason = R.file_reason(name, F.when(name == "b.pdf", "Sound recordings"), ["pdf"], ["part", "parts"], ["recordings"], F.col("c_acctbal") >= 0)
+    return table(spark, d, "customer").select("c_custkey", reason.alias("reason"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'w1:composer w2:editor w3:composer' ELSE 'w9' END AS relations FROM events""")
+def nested_relations(spark, d):
+    raw = F.when(F.col("event_id") % 2 == 0, '{"a": {"role": "composer", "rel": "w1", "x": [{"b": {"role": "editor", "y": {"rel": "w2"}}}, {"rel": "w3"}]}, "z": {"w": 1}}').otherwise('{"rel": "w9", "role": null}')
+    out = R.related(raw, "rel", "role")
+    return table(spark, d, "events").select("event_id", F.array_join(F.transform(out, lambda r: F.concat_ws(":", r["id"], r["role"])), " ").alias("relations"))

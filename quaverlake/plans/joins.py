@@ -138,13 +138,17 @@ def snapshot_diff(spark, d):
     return J.changes(orders.where("o_orderkey % 10 <> 3"), after.where("o_orderkey % 10 <> 5"), "o_orderkey", ["o_orderstatus"])
 
 
-@query("""WITH c AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN -1 ELSE p_partkey END AS id, p_name FROM part),
- n AS (SELECT p_name, count(*) AS k, min(p_partkey) AS one FROM part GROUP BY p_name)
- SELECT c.p_partkey, CASE WHEN c.id > 0 THEN c.id WHEN k = 1 THEN one END AS matched_id, CASE WHEN c.id > 0 THEN 'id' WHEN k = 1 THEN 'name' WHEN k > 1 THEN 'ambiguous' ELSE 'missing' END AS outcome
+@query("""WITH c AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN -1 ELSE p_partkey END AS id, CASE WHEN p_partkey % 10 = 4 THEN 'another' ELSE p_name || (p_partkey // 40) END AS p_name FROM part),
+ m AS (SELECT p_partkey AS id, p_name || (p_partkey // 40) AS p_name FROM part), n AS (SELECT p_name, count(*) AS k, min(id) AS one FROM m GROUP BY p_name)
+ SELECT c.p_partkey, CASE WHEN c.id >= 0 AND c.p_name <> 'another' THEN c.id WHEN c.id < 0 AND k = 1 THEN one END AS matched_id,
+ CASE WHEN c.id >= 0 AND c.p_name = 'another' THEN 'conflict' WHEN c.id >= 0 THEN 'id' WHEN k = 1 THEN 'name' WHEN k > 1 THEN 'ambiguous' ELSE 'missing' END AS outcome
  FROM c LEFT JOIN n USING (p_name)""")
 def two_phase_association(spark, d):
-    part = table(spark, d, "part").select("p_partkey", F.col("p_partkey").alias("id"), "p_name")
-    chunks = part.withColumn("id", F.when(F.col("p_partkey") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
+    name = F.concat("p_name", F.expr("p_partkey div 40").cast("string"))
+    part = table(spark, d, "part").select("p_partkey", F.col("p_partkey").alias("id"), name.alias("p_name"))
+    chunks = part.withColumns(
+        {"id": F.when(F.col("p_partkey") % 3 == 0, F.lit(-1)).otherwise(F.col("id")), "p_name": F.when(F.col("p_partkey") % 10 == 4, F.lit("another")).otherwise(F.col("p_name"))}
+    )
     return J.two_phase(chunks, part.select("id", "p_name"), "id", "p_name").select("p_partkey", "matched_id", "outcome")
 
 
@@ -171,3 +175,24 @@ def robots_groups(spark, d):
     files = spark.createDataFrame([("h", _ROBOTS)], "host string, body string")
     target = F.regexp_extract("url", r"^https?://[^/?#]+([^#]*)", 1)
     return facets.robots_verdicts(files, table(spark, d, "pages").select(F.col("page_id").alias("url"), F.lit("h").alias("host"), target.alias("target")), "Reader/1.0")
+
+
+@query("""WITH p AS (SELECT p_partkey % (n * 3 // 4) AS a, p_partkey % (n * 7 // 8) AS b FROM part, (SELECT count(*) AS n FROM part)), u AS (SELECT a FROM p GROUP BY a HAVING count(*) = 1), v AS (SELECT b FROM p GROUP BY b HAVING count(*) = 1)
+ SELECT a, b FROM p WHERE a IN (SELECT a FROM u) AND b IN (SELECT b FROM v)""")
+def attacks_used_once(spark, d):
+    part = table(spark, d, "part")
+    n = part.count()
+    pairs = part.select((F.col("p_partkey") % (n * 3 // 4)).alias("a"), (F.col("p_partkey") % (n * 7 // 8)).alias("b"))
+    return J.matched_once(pairs, "a", "b").select("a", "b")
+
+
+@query("""WITH l AS (SELECT c_custkey AS l, c_mktsegment AS m, c_nationkey AS n, c_custkey % 50 AS k FROM customer), r AS (SELECT s_suppkey AS r, ['HOUSEHOLD', 'MACHINERY', 'BUILDING'][s_suppkey % 3 + 1] AS m, s_nationkey AS n, s_suppkey % 70 AS k FROM supplier),
+ a AS (SELECT m, n, min(r) AS r FROM r GROUP BY ALL HAVING count(*) = 1), b AS (SELECT n, min(r) AS r FROM r GROUP BY ALL HAVING count(*) = 1), c AS (SELECT k, min(r) AS r FROM r GROUP BY ALL HAVING count(*) = 1)
+ SELECT l, coalesce(a.r, b.r, c.r) AS r, CASE WHEN a.r IS NOT NULL THEN 0 WHEN b.r IS NOT NULL THEN 1 WHEN c.r IS NOT NULL THEN 2 END::INT AS level
+ FROM l LEFT JOIN a USING (m, n) LEFT JOIN b ON l.n = b.n LEFT JOIN c ON l.k = c.k""")
+def role_matches(spark, d):
+    """By segment and nation, else by nation, else by a number, where only one supplier agrees."""
+    left = table(spark, d, "customer").select(F.col("c_custkey").alias("l"), F.col("c_mktsegment").alias("m"), F.col("c_nationkey").alias("n"), (F.col("c_custkey") % 50).alias("k"))
+    segment = F.element_at(F.array(*map(F.lit, ("HOUSEHOLD", "MACHINERY", "BUILDING"))), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    right = table(spark, d, "supplier").select(F.col("s_suppkey").alias("r"), segment.alias("m"), F.col("s_nationkey").alias("n"), (F.col("s_suppkey") % 70).alias("k"))
+    return J.by_precedence(left, right, "l", "r", [["m", "n"], ["n"], ["k"]])

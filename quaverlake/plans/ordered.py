@@ -227,3 +227,19 @@ def redelivery_conflicts(spark, d):
     from ..streaming import attempts as A
 
     return A.conflicts(table(spark, d, "part"), "p_name", "p_type").withColumnRenamed("p_name", "member")
+
+
+@query("""WITH b AS (SELECT o_custkey AS page, (o_orderkey % 500)::DOUBLE AS a, (o_orderkey % 500 + 40)::DOUBLE AS b FROM orders),
+ n AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY page ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 0.5 THEN 0 ELSE 1 END AS new FROM b),
+ i AS (SELECT *, sum(new) OVER (PARTITION BY page ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM n), m AS (SELECT page, max(b) - min(a) AS n FROM i GROUP BY page, k)
+ SELECT page, sum(n) / 540.0 AS share FROM m GROUP BY page""")
+def staff_coverage(spark, d):
+    at = (F.col("o_orderkey") % 500).cast("double")
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("page"), at.alias("a"), (at + 40).alias("b"), F.lit(540.0).alias("width"))
+    return O.covered_share(rows, ["page"], "a", "b", 0.5, "width")
+
+
+@query("""SELECT event_id, (sum((event_type = 'signup')::INT) OVER w)::INT AS attempt, lead(event_type) OVER w IS NULL AS latest FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def attempt_numbers(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    return O.numbered_attempts(e, "user_id", ["ts", "event_id"], "event_type", "signup").select("event_id", "attempt", "latest")

@@ -202,3 +202,11 @@ def wikitext_files(spark, d):
     )
     out = markup.read_wikitext(table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), text.alias("wikitext")))
     return out.select("page_id", F.when(F.col("headings").isNotNull(), F.array_join("headings", "/")).alias("heading"), "chunk", "issue")
+
+
+@query("""SELECT user_id::VARCHAR AS id, CASE WHEN user_id % 4 = 1 THEN 'other_format' ELSE 'unreadable: ValueError: data byte without a status' END AS fault FROM (SELECT DISTINCT user_id FROM events WHERE event_type IN ('signup', 'error'))
+ WHERE user_id % 4 = 1 OR user_id % 10 = 0""")
+def file_format_faults(spark, d):
+    from ..sources import corpus
+
+    return corpus.format_faults(_midi(spark, d).withColumn("format", F.when(F.col("id").cast("int") % 4 == 1, "pdf").otherwise("mid")))

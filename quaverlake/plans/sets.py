@@ -11,7 +11,27 @@ from .registry import query, table
 @query("SELECT doc_id, source FROM documents")
 def append_disjoint(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
-    return S.append_new(docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 2 = 0 or doc_id % 3 = 0"), "doc_id")
+    out, clash = S.append_new(docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 3 = 0"), "doc_id")
+    return out.join(clash, "doc_id", "left_anti")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 2 = 0 AND doc_id % 3 <> 0")
+def append_refused(spark, d):
+    """The keys for which an append is refused."""
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return S.append_new(docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 2 = 0 or doc_id % 3 = 0"), "doc_id")[1]
+
+
+@query("""SELECT (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) + (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 100 = 1)) = 0 AS equal,
+ (SELECT count(*) FROM customer WHERE c_custkey % 100 <> 1 AND c_custkey NOT IN (SELECT o_custkey FROM orders)) AS left_only, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 100 = 1) AS right_only""")
+def exact_set_equality(spark, d):
+    known = table(spark, d, "customer").where("c_custkey % 100 <> 1").select(F.col("c_custkey").alias("o_custkey"))
+    return S.same_set(known, table(spark, d, "orders"), "o_custkey")
+
+
+@query("SELECT event_type, min(event_id) AS event_id FROM events GROUP BY 1")
+def first_seen_order(spark, d):
+    return S.first_seen(table(spark, d, "events"), "event_type", ["event_id"])
 
 
 @query("""SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber < 4 EXCEPT ALL SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber > 2""")

@@ -213,3 +213,17 @@ def test_digests_and_typed_sinks(spark, tmp_path):
         with pytest.raises(ValueError, match="holds"):
             sinks.write_typed(spark.range(1), path, kind, version)
     assert sinks.write_ledger(spark.createDataFrame([(1, "x", None)], "id int, a string, b string"), str(tmp_path / "ledger"), "id") == 1
+
+
+def test_corpus_scans(spark, tmp_path):
+    from quaverlake.sources import corpus
+
+    path = tmp_path / "a.tar"
+    xml = b"<score-partwise><part-list><score-part id='P1'><part-name>Lute</part-name></score-part></part-list></score-partwise>"
+    _tar(path, [("a.mxl", xml), ("b.mxl", b"<"), ("c.json", b'{"x": 1}'), ("d.json", b"{}")])
+    got = {(r.id, r.text, (r.issue or "").split(":")[0]) for r in corpus.score_scan(spark, [str(path)]).collect()}
+    assert got == {("a.mxl", "Lute", ""), ("b.mxl", None, "ParseError")}
+    wanted = spark.createDataFrame([("c.json",), ("e.json",)], "m string")
+    assert [tuple(r) for r in corpus.candidate_scan(spark, [str(path)], wanted, "m").collect()] == [("c.json", '{"x": 1}')]
+    files = spark.createDataFrame([("a", bytearray(b"%PDF-x"))], "id string, body binary")
+    assert corpus.read_pages(files).first().issue
