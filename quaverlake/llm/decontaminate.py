@@ -130,8 +130,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     other columns are ignored.
     """
     spark = docs.sparkSession
+    work = common.Scratch(spark)
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = common.stage(
+    items = work.stage(
         items.mapInArrow(_item_rows, "item_id long, n int, tokens binary, seeds array<struct<h:long,at:int>>"), "bench-items"
     )
     short = tuple(sorted(r.n for r in items.where(F.col("n").between(MIN_ITEM, SPAN - 1)).select("n").distinct().collect()))  # lengths: under SPAN rows
@@ -180,7 +181,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             )
 
     known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    regions = common.stage(
+    regions = work.stage(
         known.mapInArrow(regions, "doc_id long, start int, tokens binary, seeds array<struct<h:long,at:int>>"), "bench-regions"
     )
     theirs = items.select("item_id", F.explode("seeds").alias("s")).select("item_id", "s.h", F.col("s.at").alias("item_at"))
@@ -216,9 +217,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .mapInArrow(verify, "doc_id long, item_id long, doc_start int, doc_end int, n_tokens int, n_equal int")
     )
     best = F.max(F.struct("n_equal", "n_tokens", (-F.col("doc_start")).alias("s"), "doc_end"))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("m")).select(
+    found = found.groupBy("doc_id", "item_id").agg(best.alias("m")).select(
         "doc_id", "item_id", (-F.col("m.s")).alias("doc_start"), "m.doc_end", "m.n_tokens", "m.n_equal"
     )
+    found = work.stage(found, "bench-overlaps")
+    work.drop("bench-items", "bench-regions")
+    return found
 
 
 def op1_decontaminate(spark, sf_dir):

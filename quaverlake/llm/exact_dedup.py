@@ -135,13 +135,15 @@ def exact_dedup(
             "group_size",
         )
     )
-    groups = common.stage(groups, "dedup-groups")
+    work = common.Scratch(spark)
+    groups = work.stage(groups, "dedup-groups")
     # The file that holds the row which stays, from the state; collided digests have none.
     located = state.where("n > 1").select("digest", F.col("doc_id").alias("keep_id"), "locator")
-    groups = common.stage(
+    groups = work.stage(
         groups.join(located.withColumnRenamed("locator", "keep_locator"), ["digest", "keep_id"], "left"),
         "dedup-located",
     )
+    work.drop("dedup-groups")
     out = staged.join(groups, ["digest", "tag"], "left")
     found = F.col("group_size").isNotNull()
     keep = F.when(found, F.col("keep_id")).otherwise(F.col("doc_id"))

@@ -36,6 +36,8 @@ GRAM, EDGE = 8, 50
 PLACES = LENGTH - 2 * EDGE - GRAM + 1
 #: Texts are parsed in runs of about so many bytes.
 RUN_BYTES = 1 << 19
+#: Texts of a task that are remembered at most.
+SEEN = 1 << 18
 #: Phrases with one core that are sorted in memory at most; beyond, their windows are grouped by Spark.
 BLOCK_BYTES = 1 << 20
 
@@ -106,9 +108,11 @@ def _parsed(batches):
 
     place: tag (24 bits), first window (31 bits) and number of windows less one (7 bits).
     """
-    seen: set[tuple[int, int]] = set()
+    seen: set[tuple[int, int]] = set()  # saves work only, so it may be forgotten
     for batch in batches:
         for _, run in text_runs(batch):
+            if len(seen) > SEEN:
+                seen.clear()
             texts, keys = [], []
             for raw in run:
                 if len(raw) >= LENGTH and (key := _key(raw)) not in seen:
@@ -267,7 +271,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("doc", F.expr(_DOC)).withColumn("tag", F.expr(_TAG))
     wholes = docs.groupBy("doc", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    wholes = common.stage(wholes.select("doc", "tag", F.lit(True).alias("whole")), "repeat-wholes")
+    work = common.Scratch(docs.sparkSession)
+    wholes = work.stage(wholes.select("doc", "tag", F.lit(True).alias("whole")), "repeat-wholes")
 
     parse = docs.select("text").mapInArrow(_parsed, "doc long, place long, core long, whole long")
     of_core, of_whole = W.partitionBy("core"), W.partitionBy("core", "whole")
@@ -280,12 +285,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .where("n > 1 or low < high")
         .select("doc", "place", "core", (F.col("n") > 1).alias("again"), F.expr("low < high and rank = 1").alias("sort"))
     )
-    ranked = common.stage(ranked, "repeat-parse")
+    ranked = work.stage(ranked, "repeat-parse")
 
     # The phrases whose suffixes are to be sorted, with their bytes.
     wanted = ranked.where("sort").select("doc", F.shiftright("place", 38).alias("tag"), F.struct("place", "core").alias("p"))
     wanted = wanted.groupBy("doc", "tag").agg(F.collect_list("p").alias("places"))
-    wanted = common.stage(wanted, "repeat-wanted")
+    wanted = work.stage(wanted, "repeat-wanted")
     texts = common.rows_with_ids(docs.select("doc", "tag", "text"), "doc", wanted.select("doc"))
     dictionary = (
         texts.join(wanted, ["doc", "tag"])
@@ -298,7 +303,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("core")
         .mapInArrow(_suffix_sorted, "doc long, place long, `from` long, `to` long, a long, b long")
     )
-    found = common.stage(found, "repeat-suffixes")
+    found = work.stage(found, "repeat-suffixes")
     loose = found.where("a is not null").withColumn("n", F.count(F.lit(1)).over(W.partitionBy("a", "b"))).where("n > 1")
     runs = (
         found.where("a is null").select("doc", "place", "from", "to")
@@ -313,7 +318,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     spans = runs.groupBy("doc", F.shiftright("place", 38).alias("tag")).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     marks = spans.join(wholes, ["doc", "tag"], "full").select("doc", "tag", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
-    marks = common.stage(marks, "repeat-spans")
+    marks = work.stage(marks, "repeat-spans")
+    work.drop("repeat-wholes", "repeat-parse", "repeat-wanted", "repeat-suffixes")
     out = docs.join(marks, ["doc", "tag"], "left").select("doc_id", "text", "whole", "spans")
     return out.mapInArrow(
         _removed,
