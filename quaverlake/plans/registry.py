@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import aggregates, checks, decisions, evidence, joins, merges, ordered, records, scalars, search, sets, titles  # noqa: E402, F401
+from . import acquisition, aggregates, checks, decisions, evidence, joins, merges, ordered, records, scalars, search, sets, titles  # noqa: E402, F401
