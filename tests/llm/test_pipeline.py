@@ -92,3 +92,56 @@ def test_stages_on_odd_rows(spark, tmp_path):
         taken[r.source] += r.taken
         assert abs(r.target - {"s": 1480.0, "t": 80.0}[r.source]) < 1e-6
     assert taken == {"s": 1480, "t": 80}
+
+
+def test_run_matches_plain_versions(spark, tmp_path):
+    """The whole pipeline against its five stages written down plainly."""
+    import re
+
+    import numpy as np
+    import pytest
+    from test_llm import brute_targets
+
+    from quaverlake.llm import quality
+
+    d = str(tmp_path)
+    docs = documents(spark)
+    docs.write.parquet(f"{d}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(200 + i, 0) for i in range(40)], "doc_id long, quality int")
+    labels.write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, BENCH)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+
+    rows = [(r.doc_id, r.text or "", r.source) for r in docs.collect()]
+    model = quality.fit(*quality.sample_bags(docs, labels, "quality", quality.SAMPLE))
+
+    def good(text):
+        x, n = quality.encode([text.encode()])
+        return quality._forward(model, x.astype(np.float64), n)["p"][0] >= 0.7
+
+    rows = [r for r in rows if good(r[1])]
+    last = {}
+    for r in rows:
+        key = re.sub("[A-Z]", lambda m: m[0].lower(), r[1])
+        if key not in last or (r[0] if r[0] is not None else -1) > (last[key][0] if last[key][0] is not None else -1):
+            last[key] = r
+    rows = list(last.values())
+    component = {i: c for i, _, c in brute_components([(i, t) for i, t, _ in rows if i is not None])}
+    rows = [r for r in rows if r[0] is None or component[r[0]] == r[0]]
+    item = BENCH.lower().split()
+    grams = {tuple(item[k : k + 13]) for k in range(len(item) - 12)}
+    rows = [r for r in rows if not any(tuple(w[k : k + 13]) in grams for w in [r[1].lower().split()] for k in range(len(w) - 12))]
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want = brute_targets(sizes)
+
+    got = corpus_pipeline.run(spark, d).collect()
+    assert {r.doc_id for r in got} <= {i for i, _, _ in rows}
+    taken = collections.Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        assert (r.source_size, r["size"]) == (sizes[r.source], len(r.text.split())) and r.target == pytest.approx(want[r.source])
+    lengths = {s: min(len(t.split()) for _, t, x in rows if x == s and t.split()) for s in want if sizes[s]}
+    assert all(0 <= want[s] - taken[s] < lengths[s] + 1 for s in lengths)
+    whole = {s for s in want if want[s] >= sizes[s]}
+    assert {r.doc_id for r in got if r.source in whole} == {i for i, t, s in rows if s in whole and t.split()}
