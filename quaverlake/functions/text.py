@@ -61,25 +61,44 @@ def search_form(s: pd.Series) -> pd.Series:
     return pd.Series([forms.get(v) for v in s], dtype=object)
 
 
+def _osa(x: str, y: str, limit: int | None = None, inside: bool = False) -> int:
+    """Edits with swaps of neighbours, each place edited once; ``inside``: of the best part of ``y``. Over the limit, limit + 1."""
+    if limit is not None and not inside and abs(len(x) - len(y)) > limit:
+        return limit + 1
+    before, last = [], [0] * (len(y) + 1) if inside else list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        row = [i]
+        for j, d in enumerate(y, 1):
+            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (c != d))
+            if i > 1 and j > 1 and c == y[j - 2] and x[i - 2] == d:
+                best = min(best, before[j - 2] + 1)
+            row.append(best)
+        if limit is not None and min(row) > limit:
+            return limit + 1
+        before, last = last, row
+    return min(last) if inside else last[-1]
+
+
 @F.pandas_udf(T.IntegerType())
 def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edits with swaps of neighbours, each place edited once (optimal string alignment)."""
+    return pd.Series([None if x is None or y is None else _osa(x, y) for x, y in zip(a, b)], dtype="Int32")
+
+
+_HAN = re.compile(r"[\u3400-\u9fff]+")
+
 
-    def one(x, y):
-        if x is None or y is None:
+@F.pandas_udf(T.IntegerType())
+def token_cost(words: pd.Series, terms: pd.Series) -> pd.Series:
+    """Edits from a term to a word of the same script, up to 2; a term of Han characters may be any part of the word."""
+
+    def one(word, term):
+        if word is None or term is None:
             return None
-        before, last = [], list(range(len(y) + 1))
-        for i, c in enumerate(x, 1):
-            row = [i]
-            for j, d in enumerate(y, 1):
-                best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (c != d))
-                if i > 1 and j > 1 and c == y[j - 2] and x[i - 2] == d:
-                    best = min(best, before[j - 2] + 1)
-                row.append(best)
-            before, last = last, row
-        return last[-1]
+        han = bool(_HAN.fullmatch(term))
+        return 3 if han != bool(_HAN.fullmatch(word)) else _osa(term, word, 2, han)
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="Int32")
+    return pd.Series([one(w, t) for w, t in zip(words, terms)], dtype="Int32")
 
 
 def tokens(text: Column) -> Column:
@@ -156,9 +175,17 @@ def wrap_title(title: Column) -> Column:
     return F.when(title.rlike("^《[^《》]*》$"), title).otherwise(F.concat(F.lit("《"), title, F.lit("》")))
 
 
+#: The longest text that is shown, and what a shown text doesn't have: contacts, links, store paths, digests, files, private paths.
+SHOWN = 1600
+_UNSAFE = (
+    r"[\w.+-]+@[\w-]+\.\w+", r"\+?\d[\d ()-]{8,}\d", r"https?://|www\.|file:", r"(?:sources|objects|metadata)/", r"[a-f0-9]{64}", r"\.(?:pdf|mxl|mid)\b",
+    r"(?:^|\s)(?:/(?:users|volumes|tmp|private|home|var)/|[a-z]:[\\/])", r"\bprivate/", r"[\x00-\x08\x0b-\x1f]",
+)
+
+
 def safe_text(text: Column) -> Column:
-    """True without mail addresses, links, phone numbers and private paths."""
-    return ~text.rlike(r"(?i)[\w.+-]+@[\w-]+\.\w+|https?://|www\.|\+?\d[\d ()-]{8,}\d|/(home|users)/|[a-z]:\\")
+    """True for a text that may be shown: not blank, not too long, and with nothing of the above."""
+    return text.isNotNull() & (F.trim(text) != "") & (F.length(text) <= SHOWN) & ~text.rlike("(?i)" + "|".join(_UNSAFE))
 
 
 def response_class(body: Column) -> Column:

@@ -126,8 +126,10 @@ def with_aliases(works: DataFrame, composer_aliases: DataFrame, work_aliases: Da
 
 
 def tolerance(term: str) -> int:
-    """Edits that a term may have: none in numbers and short words."""
-    return 0 if term.isdigit() or not 4 <= len(term) <= 40 else 1 if len(term) < 8 else 2
+    """Edits that a term may have: none in numbers and short words; terms of Han characters are short earlier."""
+    if all("\u3400" <= c <= "\u9fff" for c in term):
+        return 0 if not 3 <= len(term) <= 24 else 1 if len(term) < 7 else 2
+    return 0 if not term.isalpha() or not 4 <= len(term) <= 40 else 1 if len(term) < 8 else 2
 
 
 def fuzzy(postings: DataFrame, query: str, distance, most: int = 2) -> DataFrame:
@@ -143,7 +145,9 @@ def fuzzy(postings: DataFrame, query: str, distance, most: int = 2) -> DataFrame
     pairs = postings.select("word").distinct().select("word", each).select("word", "t.*")
     letters = lambda c: F.array_distinct(F.split(c, ""))
     lacks = F.size(F.array_except(letters(F.col("term")), letters(F.col("word"))))
-    pairs = pairs.where((F.abs(F.length("word") - F.length("term")) <= F.col("k")) & (lacks <= F.col("k")))
+    han = F.col("term").rlike(r"^[\x{3400}-\x{9fff}]+$")  # such a term may be any part of a longer word
+    near_length = F.when(han, F.length("word") >= F.length("term") - F.col("k")).otherwise(F.abs(F.length("word") - F.length("term")) <= F.col("k"))
+    pairs = pairs.where(near_length & (lacks <= F.col("k")))
     near = pairs.withColumn("cost", distance(F.col("word"), F.col("term"))).where("cost between 0 and k").select("word", "term", "cost")
     hits = postings.join(near, "word").groupBy("id", "term").agg(F.min("cost").alias("cost"))
     out = hits.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").cast("long").alias("cost"))
@@ -164,11 +168,24 @@ def all_postings(postings: DataFrame, terms: list[str]) -> DataFrame:
     return hits.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(set(terms))).select("id")
 
 
-def suggest(kinds: dict[str, DataFrame], order: dict[str, list[Column]], limits: dict[str, int], total: int) -> DataFrame:
-    """The first few of each kind (kind, label), then the first ``total`` of all, in the order of the kinds."""
-    parts = []
-    for place, (kind, df) in enumerate(kinds.items()):
-        first = df.orderBy(*order[kind]).limit(limits[kind])
-        rank = F.row_number().over(W.orderBy(*order[kind]))
-        parts.append(first.select(F.lit(place).alias("place"), rank.alias("rank"), F.lit(kind).alias("kind"), "label"))
-    return reduce(DataFrame.union, parts).orderBy("place", "rank").limit(total).select("kind", "label")
+def suggest(hits: DataFrame, query: str, order: list[Column], composers: int = 3, total: int = 6) -> DataFrame:
+    """(place, kind, label, query): up to ``composers`` composers that have every term, then works, ``total`` in all, each text once.
+
+    hits: composer_key, composer_label, composer (lines), work_label, canonical (a work's
+    title and composer, normalised) and metadata (lines). A work's query keeps the terms
+    that only its metadata has.
+    """
+    terms = query.split()
+    if len(query) < 2:
+        return hits.select(F.lit(0).alias("place"), F.lit("").alias("kind"), F.lit("").alias("label"), F.lit("").alias("query")).where("false")
+    rank = F.struct(*(c.alias(f"o{n}") for n, c in enumerate(order)))
+    first = hits.where((F.col("composer_key") != "") & matches_all([F.col("composer")], terms)).groupBy("composer_key")
+    first = first.agg(F.min(rank).alias("rank"), F.min_by("composer_label", rank).alias("label"))
+    first = first.orderBy("rank").limit(composers).select(F.lit(0).alias("part"), "rank", F.lit("composer").alias("kind"), "label", F.col("composer_key").alias("query"))
+    kept = F.array_compact(F.array(*(F.when(~found(lines(F.array("canonical")), t) & found(F.col("metadata"), t), F.lit(t)) for t in terms)))
+    works = hits.withColumn("query", F.concat_ws(" ", "canonical", F.array_join(kept, " "))).withColumn("query", F.trim("query"))
+    works = works.groupBy("query").agg(F.min(rank).alias("rank"), F.min_by("work_label", rank).alias("label")).orderBy("rank").limit(total)
+    both = first.union(works.select(F.lit(1).alias("part"), "rank", F.lit("work").alias("kind"), "label", "query"))
+    once = both.groupBy("query").agg(F.min(F.struct("part", "rank", "kind", "label")).alias("m"))  # a few rows
+    top = once.orderBy("m.part", "m.rank").limit(total)
+    return top.select(F.row_number().over(W.orderBy("m.part", "m.rank")).alias("place"), "m.kind", "m.label", "query")

@@ -146,7 +146,7 @@ def crosscheck_rollup(spark, d):
 @query("""WITH f AS (SELECT p_name AS digest, p_partkey // 2 AS inode, CASE WHEN p_partkey % 10 < 2 THEN 3 ELSE 1 END AS links, p_size AS size FROM part),
  n AS (SELECT digest, inode, count(*) AS paths, max(links) AS links, max(size) AS size FROM f GROUP BY ALL), k AS (SELECT *, min(inode) OVER (PARTITION BY digest) AS kept FROM n)
  SELECT digest, sum(CASE WHEN inode <> kept AND paths >= links THEN size ELSE 0 END)::BIGINT AS bytes, count(*) FILTER (inode <> kept AND paths >= links AND size > 0) AS inodes FROM k GROUP BY 1""")
-def reclaimable_bytes(spark, d):
+def reclaimable_inodes(spark, d):
     links = F.when(F.col("p_partkey") % 10 < 2, 3).otherwise(1)
     files = table(spark, d, "part").select(F.col("p_name").alias("digest"), F.expr("p_partkey div 2").alias("inode"), links.alias("links"), F.col("p_size").alias("size"))
     return E.reclaimable(files, "inode", "links", "size")

@@ -96,10 +96,16 @@ def one_hop_neighbours(spark, d):
     return J.neighbours(edges, nodes, "node")
 
 
-@query(r"""SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) || regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1)
- || CASE WHEN regexp_extract(url, '\?([^#]*)', 1) <> '' THEN '?' || regexp_extract(url, '\?([^#]*)', 1) ELSE '' END AS file_key FROM pages""")
+_FILE_URLS = {
+    "HTTPS://U@Ex.org:8080/a%20b+c.PDF?x=1#y": "ex.org/a b+c.PDF?x=1", "http://ex.org/a.html": None, "https://urn.kb.se/resolve?urn=urn%3Anbn%3Ase%3A1": "urn.kb.se/resolve?urn=urn%3Anbn%3Ase%3A1",
+    "https://urn.kb.se/resolve?urn=x": None, "ftp://ex.org/a.pdf": None, "http://ex.org/x.zip": "ex.org/x.zip", "http://ex.org/%zz.pdf": "ex.org/%zz.pdf",
+}
+
+
+@query(f"""SELECT page_id, {"[" + ", ".join("NULL" if v is None else f"'{v}'" for v in _FILE_URLS.values()) + "]"}[page_id % {len(_FILE_URLS)} + 1] AS file_key FROM pages""")
 def url_file_key(spark, d):
-    return table(spark, d, "pages").select("page_id", urls.file_key(F.col("url")).alias("file_key"))
+    url = F.element_at(F.array(*map(F.lit, _FILE_URLS)), (F.col("page_id") % len(_FILE_URLS) + 1).cast("int"))
+    return table(spark, d, "pages").select("page_id", urls.file_key(url).alias("file_key"))
 
 
 @query(r"""WITH u AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#:@]+)', 1)) AS h, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS p,

@@ -15,6 +15,8 @@ def query(sql: str | None = None):
     """Registers a function of (spark, sf_dir) under its name, with its SQL."""
 
     def register(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql

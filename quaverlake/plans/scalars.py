@@ -77,9 +77,16 @@ def osa_distances(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", X.osa_distance(side(0), side(1)).alias("distance"))
 
 
-@query(r"""SELECT doc_id, NOT regexp_matches(text, '(?i)[\w.+-]+@[\w-]+\.\w+|https?://|www\.|\+?\d[\d ()-]{8,}\d|/(home|users)/|[a-z]:\\') AS safe FROM documents""")
+_SHOWN = {
+    "a quiet note\n": True, "write to a.b@c.org": False, "see www.x.org": False, "call +49 30 1234567 8": False, "in sources/x": False, "a" * 64: False, "score.PDF": False, " /tmp/x": False, "C:/x": False,
+    "bell \x07": False, "  ": False, "x" * 1601: False, "tab\tis fine": True,
+}
+
+
+@query(f"SELECT c_custkey, {list(_SHOWN.values())}[c_custkey % {len(_SHOWN)} + 1] AS safe FROM customer")
 def safe_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.safe_text(F.col("text")).alias("safe"))
+    text = F.element_at(F.array(*map(F.lit, _SHOWN)), (F.col("c_custkey") % len(_SHOWN) + 1).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", X.safe_text(text).alias("safe"))
 
 
 @query("SELECT r_regionkey, sha256(r_regionkey || '|' || r_name) AS digest, md5(r_name) AS short FROM region")
@@ -117,10 +124,11 @@ def midi_numbers(spark, d):
     return table(spark, d, "part").select("p_partkey", pitch.alias("pitch"))
 
 
-@query(r"""SELECT page_id, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS page FROM pages WHERE regexp_matches(url, '[?&]page=')""")
+@query(r"""SELECT page_id, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS page, 'a b+ü' AS q, '' AS flag FROM pages WHERE regexp_matches(url, '[?&]page=')""")
 def query_string(spark, d):
-    page = urls.query_map(F.col("url"))["page"]
-    return table(spark, d, "pages").select("page_id", page.alias("page")).where("page is not null")
+    more = F.concat(F.substring_index("url", "#", 1), F.lit("&q=x&q=a%20b%2B%C3%BC&flag#page=9"))
+    m = urls.query_map(more)
+    return table(spark, d, "pages").select("page_id", m["page"].alias("page"), m["q"].alias("q"), m["flag"].alias("flag")).where("page is not null")
 
 
 @query("""SELECT p_partkey, p_brand || '；' || p_type || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '；' || p_name END AS details FROM part""")
@@ -150,3 +158,12 @@ def dictionary_labels(spark, d):
     return table(spark, d, "part").select(
         "p_partkey", X.longest_first(F.col("p_type"), {"STEEL": "s", "STANDARD": "S"}).alias("label"), X.plain_link(X.category_name(F.col("p_name"))).alias("name")
     )
+
+
+_COSTS = {("etude", "etdue"): 1, ("练习曲", "大练习曲集"): 0, ("练习曲", "练曲"): 1, ("etude", "练习曲"): 3, ("guitarra", "guitare"): 2, ("guitarra", "gitano"): 3}
+
+
+@query(f"""SELECT s_suppkey, {list(_COSTS.values())}[s_suppkey % {len(_COSTS)} + 1]::INT AS cost FROM supplier""")
+def token_costs(spark, d):
+    side = lambda n: F.element_at(F.array(*(F.lit(k[n]) for k in _COSTS)), (F.col("s_suppkey") % len(_COSTS) + 1).cast("int"))
+    return table(spark, d, "supplier").select("s_suppkey", X.token_cost(side(1), side(0)).alias("cost"))

@@ -145,13 +145,26 @@ def search_fuzzy_osa(spark, d):
     return S.fuzzy(postings(spark, d), "htat tionh", X.osa_distance)
 
 
-@query("""(SELECT 'part' AS kind, p_name AS label FROM part WHERE p_name LIKE 'a%' ORDER BY p_retailprice DESC, p_partkey LIMIT 3)
- UNION ALL (SELECT 'supplier', s_name FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 3)""")
+@query(f"""WITH {_CATALOG}, h AS (SELECT id, title, composer, type, sort_composer, sort_title, {" + ".join(f"CASE WHEN contains(composer, '{t}') OR contains(title, '{t}') OR contains(type, '{t}') THEN 0 ELSE 1 END" for t in ("brand", "econ"))} AS miss FROM w),
+ mm AS (SELECT *, title || ' ' || composer || ' econ' AS query FROM h WHERE miss = 0), w6 AS (SELECT query, min(id) AS id, arg_min(sort_title, id) AS label FROM mm GROUP BY 1 ORDER BY 2 LIMIT 6)
+ SELECT row_number() OVER (ORDER BY id) AS place, 'work' AS kind, label, query FROM w6""")
 def topk_suggest(spark, d):
-    part = table(spark, d, "part").where("p_name like 'a%'").withColumn("label", F.col("p_name"))
-    supplier = table(spark, d, "supplier").withColumn("label", F.col("s_name"))
-    order = {"part": [F.desc("p_retailprice"), F.col("p_partkey")], "supplier": [F.desc("s_acctbal"), F.col("s_suppkey")]}
-    return S.suggest({"part": part, "supplier": supplier}, order, {"part": 3, "supplier": 3}, 6)
+    return _suggested(spark, d, "brand econ")
+
+
+@query(f"""WITH {_CATALOG}, mm AS (SELECT * FROM w WHERE composer LIKE '%brand 1%' AND list_contains(string_split(composer, ' '), '1') OR (list_contains(string_split(title, ' '), '1') AND contains(composer, 'brand'))),
+ cc AS (SELECT composer AS query, min(id) AS id, arg_min(sort_composer, id) AS label FROM mm WHERE list_contains(string_split(composer, ' '), '1') GROUP BY 1 ORDER BY 2 LIMIT 3),
+ v AS (SELECT title || ' ' || composer AS query, min(id) AS id, arg_min(sort_title, id) AS label FROM mm GROUP BY 1 ORDER BY 2 LIMIT 6),
+ u AS (SELECT 0 AS part, id, 'composer' AS kind, label, query FROM cc UNION ALL SELECT 1, id, 'work', label, query FROM v)
+ SELECT row_number() OVER (ORDER BY part, id) AS place, kind, label, query FROM u ORDER BY part, id LIMIT 6""")
+def suggest_composers(spark, d):
+    return _suggested(spark, d, "brand 1")
+
+
+def _suggested(spark, d, text):
+    works = catalog(spark, d)[0].withColumns({"canonical": F.concat_ws(" ", F.element_at("title", 1), F.element_at("composer", 1)), "work_label": F.col("sort_title"), "composer_label": F.col("sort_composer")})
+    index = works.withColumns({c: S.lines(F.col(c)) for c in ("title", "composer", "metadata")})
+    return S.suggest(S.exact(index, text), text, [F.col("id")])
 
 
 @query("""SELECT c_mktsegment AS category, count(*) AS records, count(*) FILTER (c_acctbal >= 0) AS sound FROM customer WHERE c_nationkey < 10 GROUP BY 1""")
