@@ -74,7 +74,11 @@ def fifo_pairing(spark, d):
     return O.pair_fifo(e, ["user_id"], ["ts", "event_id"], "event_type", "signup", "error")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT l_partkey % 40 AS page, round(l_extendedprice, -2) AS y FROM lineitem), d AS (SELECT page, list(DISTINCT y ORDER BY y) AS v FROM r GROUP BY page),
+ t(page, k, run, hit) AS (SELECT page, 0, []::DOUBLE[], []::DOUBLE[] FROM d UNION ALL
+ SELECT page, k + 1, CASE WHEN len(n) = 5 THEN [] ELSE n END, CASE WHEN len(n) = 5 THEN n ELSE [] END FROM (
+ SELECT t.page, k, list_append(CASE WHEN len(run) >= 2 AND abs((v[k + 1] - run[-1]) - (run[2] - run[1])) > 1.0 THEN [run[-1]] ELSE run END, v[k + 1]) AS n FROM t JOIN d USING (page) WHERE k < len(v)))
+ SELECT page, hit[1] AS run_start, hit[5] AS run_stop, (hit[5] - hit[1]) / 4 AS spacing FROM t WHERE len(hit) = 5""")
 def staff_line_runs(spark, d):
     rows = table(spark, d, "lineitem").select((F.col("l_partkey") % 40).alias("page"), F.round("l_extendedprice", -2).alias("y"))
     return O.spacing_runs(rows, ["page"], "y", 5, 1.0)

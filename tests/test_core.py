@@ -264,3 +264,10 @@ def test_similar_names_are_all_found(spark):
     for most in (1, 2):
         got = {tuple(r) for r in joins.similar_names(side(0), side(1), "name", most, F.lit(0)).collect()}
         assert got == {(a, b, distance(a, b)) for a in names[0] for b in names[1] if distance(a, b) <= most}
+
+
+def test_view_of_a_request():
+    from quaverlake.operators import rules
+
+    assert rules.view_of(" ", {"category": "all", "topic": None, "source": "x"}) == "categories"
+    assert rules.view_of("sor", {}) == rules.view_of("", {"category": "3"}) == rules.view_of("", {"topic": "duo"}) == "works"
