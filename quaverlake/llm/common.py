@@ -55,11 +55,10 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tags: str) -> None:
-        """Deletes the tables of these tags and lets go of the shuffles that made them."""
+        """Deletes the tables of these tags."""
         for tag in tags:
             for path in self.paths.pop(tag, []):
                 drop_path(self.spark, path)
-        release(self.spark)
 
 
 def release(spark: SparkSession) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import common
@@ -17,25 +17,26 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     neighbour is an aggregate, and joins of a popular node can be split.
     """
     work = common.Scratch(edges.sparkSession)
-    state = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+    def staged(df: DataFrame, n: int) -> tuple[DataFrame, tuple]:
+        """The round's edges, and their number and a sum of their hashes, which the same job counts."""
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"))
+        return work.stage(df, f"{tag}-{n}"), (seen.get["n"], seen.get["h"])
+
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before, last = work.stage(edges, f"{tag}-0"), None, 0
-    while True:
-        now = state(edges)
-        if now == before:
-            break
-        before = now
+    (edges, now), before, n = staged(edges, 0), None, 0
+    while now != before:
         # Large star: every larger neighbour of u points to the smallest neighbour of u (or u).
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = work.stage(large, f"{tag}-large")
         # Small star: u and its smaller neighbours point to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges, last = work.stage(small.distinct(), f"{tag}-{last + 1}"), last + 1
-        work.drop(f"{tag}-{last - 1}", f"{tag}-large")
+        n, before = n + 1, now
+        edges, now = staged(small.distinct(), n)
+        work.drop(f"{tag}-{n - 1}")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
