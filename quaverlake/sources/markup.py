@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 _HEADING = re.compile(r"^(={2,6})\s*(.*?)\s*\1\s*$")
-#: Names of templates that hold a file.
-TEMPLATES = ("file", "#fte:imslpfile")
+#: Names of templates that hold a file, as regular expressions.
+TEMPLATES = ("file", r"#fte:\w*file")
 
 
 def _template_end(text: str, at: int) -> int:
@@ -25,12 +25,12 @@ def _template_end(text: str, at: int) -> int:
 
 
 def file_chunks(wikitext: str, templates: tuple[str, ...] = TEMPLATES) -> Iterator[tuple[list[str], str]]:
-    """(headings above, template body) of each template whose name is one of ``templates``, case aside.
+    """(headings above, template body) of each template whose whole name fits one of ``templates``, case aside.
 
     Comments count as nothing. A name ends at a bar, a line end or the template's end.
     """
     text = re.sub(r"(?s)<!--.*?(?:-->|$)", "", wikitext)
-    names = "|".join(map(re.escape, templates))
+    names = "|".join(templates)
     spot = re.compile(rf"(?im)^(?:={{2,6}}).*$|\{{\{{\s*(?:{names})\s*(?=\||\n|\}}\}})")
     stack: list[tuple[int, str]] = []
     at = 0
