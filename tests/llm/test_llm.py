@@ -365,6 +365,14 @@ def test_url_parts_and_rules(spark):
     assert url_filter.url_filter(df.limit(0), F.lit(0)).count() == 0
 
 
+def test_url_filter_odd_rows(spark):
+    data = [(1, "http://a.com/x", "### " * 9), (1, "http://a.com/y", None), (None, None, "### " * 9), (2, "a.com", ""), (3, "http://A.com:80/?q", "fine"), (3, "http://A.com:80/?q", "fine")]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("domain", F.lit("x")).withColumn("suffix", F.lit("x"))
+    got = url_filter.url_filter(df, url_filter.noisy(F.col("html"))).collect()
+    assert sorted((r.page_id or 0, r.host, r.path) for r in got) == [(0, "", ""), (1, "a.com", "/x"), (1, "a.com", "/y"), (2, "", ""), (3, "a.com:80", "/"), (3, "a.com:80", "/")]
+    assert all(r.verdict in ("allow", "block") and 0 <= r.bad_rate <= 1 for r in got)
+
+
 def test_registered_domains(spark):
     hosts = ["a.b.co.uk", "x.co.uk", "co.uk", "u@a.b.org:8080", "b.org", "10.0.0.1:80", "localhost", ""]
     df = spark.createDataFrame([(h,) for h in hosts], "host string")
