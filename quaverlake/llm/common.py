@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows and bytes of the Arrow batches that staged tables are made of, at most; they bound the memory of executors and workers.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Within it the session's queries pass small Arrow batches to Python; afterwards its own settings hold again."""
+    before = {k: spark.conf.get(k, None) for k in BATCH}
+    try:
+        for k, v in BATCH.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
@@ -50,15 +68,21 @@ class Scratch:
 
     def stage(self, df: DataFrame, tag: str) -> DataFrame:
         path = new_path(self.spark, tag)
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         self.paths.setdefault(tag, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tags: str) -> None:
-        """Deletes the tables of these tags."""
+        """Deletes the tables of these tags and lets go of the shuffles and broadcasts that made them.
+
+        These are in the executors' memory and on their disks until the driver collects
+        its garbage.
+        """
         for tag in tags:
             for path in self.paths.pop(tag, []):
                 drop_path(self.spark, path)
+        release(self.spark)
 
 
 def release(spark: SparkSession) -> None:

@@ -221,6 +221,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "item_id", (-F.col("m.s")).alias("doc_start"), "m.doc_end", "m.n_tokens", "m.n_equal"
     )
     found = work.stage(found, "bench-overlaps")
+    shared.unpersist()
     work.drop("bench-items", "bench-regions")
     return found
 

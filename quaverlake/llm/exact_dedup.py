@@ -39,7 +39,7 @@ def _state(staged: DataFrame, path: str, max_bytes_per_trigger: int) -> DataFram
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "128")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "64")
     # A store lets go of its memory as soon as its batch is committed; what comes after needs it.
     own.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     # Many small stores: without this each reserves some MB of disk ahead.

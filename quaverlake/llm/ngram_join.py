@@ -472,7 +472,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     texts = common.rows_with_ids(searching, "doc_id", able.select("doc_id")).join(able, "doc_id", "left_semi")
     texts = work.stage(texts, "ngram-texts")
     work.drop("ngram-repeats")
-    common.release(work.spark)  # the shuffle of all shingles
 
     signed = texts.mapInArrow(_signer(_common_shingles(texts, work)), "sig long, doc_id long, need int")
     signed = work.stage(signed, "ngram-signed")
@@ -500,7 +499,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     split = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
     live = work.stage(placed.join(split, "sig", "left_semi"), "ngram-live")
     work.drop("ngram-met", "ngram-best")
-    common.release(work.spark)  # the shuffles of all signatures
     blocks, sides = _blocks(live.select("sig", "doc_id"), able, work)
     where = live.select("doc_id", "c").distinct()
     members = work.stage(blocks.select("block", "doc_id").distinct().join(where, "doc_id"), "ngram-members")
@@ -510,7 +508,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         found = components(links.union(more), "ngram-last")
     result = found.select(F.col("node").alias("doc_id"), "component")
     work.drop(*(tag for tag in list(work.paths) if tag != "ngram-sets"))
-    common.release(work.spark)
     return sets.join(result, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

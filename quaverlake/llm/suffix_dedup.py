@@ -320,7 +320,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     marks = spans.join(wholes, ["doc", "tag"], "full").select("doc", "tag", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
     marks = work.stage(marks, "repeat-spans")
     work.drop("repeat-wholes", "repeat-parse", "repeat-wanted", "repeat-suffixes")
-    common.release(work.spark)
     out = docs.join(marks, ["doc", "tag"], "left").select("doc_id", "text", "whole", "spans")
     return out.mapInArrow(
         _removed,
