@@ -271,3 +271,29 @@ def test_view_of_a_request():
 
     assert rules.view_of(" ", {"category": "all", "topic": None, "source": "x"}) == "categories"
     assert rules.view_of("sor", {}) == rules.view_of("", {"category": "3"}) == rules.view_of("", {"topic": "duo"}) == "works"
+
+
+def test_adapters_are_known_before_anything_is_read(spark):
+    from quaverlake.operators import extension
+
+    adapters = extension.Adapters()
+    adapters.add("a")(lambda s, source: s.range(source["n"]))
+    assert adapters.read(spark, [{"id": "x", "adapter": "a", "n": 2}, {"id": "y", "adapter": "a", "n": 1}]).groupBy("source_id").count().count() == 2
+    with pytest.raises(ValueError, match="no adapters"):
+        adapters.read(spark, [{"id": "x", "adapter": "a", "n": 1}, {"id": "y", "adapter": "b"}])
+    with pytest.raises(ValueError, match="two adapters"):
+        adapters.add("a")(lambda s, source: None)
+
+
+def test_titles_and_rules_bear_nulls(spark):
+    from quaverlake.functions import titles
+    from quaverlake.operators import decisions, display, rules
+
+    null = F.lit(None).cast("string")
+    one = lambda c: spark.range(1).select(c.alias("c")).first().c
+    assert one(titles.heading(null)) is None and one(titles.wrap_title(null)) is None and one(titles.title_label(null, null, null)) == ""
+    assert one(titles.role_credit(null, {"editor": "ed"})) is None
+    assert one(rules.url_faults(null, ["a"], {"/": {}})) in ([], None) or one(rules.url_faults(null, ["a"], {"/": {}}))
+    assert one(display.converted(null, {"a": "int"})).reason == "not_an_object"
+    assert one(decisions.translation_fault(null, null, null, null, null)) == "status"
+    assert one(decisions.forbidden_paths(F.lit("not json"), ["a"])) is None
