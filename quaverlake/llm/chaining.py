@@ -6,9 +6,11 @@ carried on, each with CONTEXT words on both sides (four bits a word). All places
 sorted by seed and the words after it, and again by seed and the words before it. A
 place is compared with its neighbours of other documents in both orders. Of those that
 have a similar stretch of CHAIN words around the seed it is joined with the most similar
-one and with the smallest document. So a seed that a third of all documents has gives
-four matches a place at most, not pairs, and its places are dealt to tasks by ranges of
-that order; no place of any document is left out.
+one and with the smallest document. That finds most partners in linear time. Seeds with
+more places than that compares are searched in full: their places are dealt to blocks,
+and in a task of two blocks each place is compared with all of the other one. Of its
+similar places it is joined with those that reach farthest to either side, and with the
+most similar one; so work grows with the square of a seed's places, rows don't.
 
 The matches of two documents are chained in order of both, with a cost for gaps,
 through a Fenwick tree of best scores; chains, also of one match, are aligned word by
@@ -46,6 +48,8 @@ MARGIN = 48
 CONTEXT, NEAR = 24, 3
 #: Words beside the seed that places of a group share, and by how many a later candidate must be more similar.
 PREFIX, BETTER = 8, 3
+#: Places in a block of a seed's places, about, and pairs of places that a task compares at once.
+BLOCK, PAIRS = 1 << 12, 1 << 17
 #: Words of a stretch of CHAIN words through a seed that must be equal beside it, or one word off.
 SIDE = CHAIN - K
 LEAST = int(SHARE * CHAIN) - K
@@ -226,9 +230,16 @@ def likeness(right: np.ndarray, left: np.ndarray, i: np.ndarray, j: np.ndarray)
     return (side(right) + side(left)[:, ::-1]).max(axis=1) if len(i) else np.zeros(0, np.int8)
 
 
+def _matched_places(d: np.ndarray, p: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Matches (hub, doc, hub_pos, pos) of the places i and j; the smaller document is the hub."""
+    turn = d[i] > d[j]
+    hub, doc = np.where(turn, j, i), np.where(turn, i, j)
+    schema = pa.schema([("hub", pa.int64()), ("doc", pa.int64()), ("hub_pos", pa.int32()), ("pos", pa.int32())])
+    return pa.RecordBatch.from_arrays([pa.array(d[hub]), pa.array(d[doc]), pa.array(p[hub], pa.int32()), pa.array(p[doc], pa.int32())], schema=schema)
+
+
 def _neighbours(batches, first_side: str):
     """Places in order of (seed, one side, doc, pos) -> their matches (hub, doc, hub_pos, pos) with similar ones."""
-    schema = pa.schema([("hub", pa.int64()), ("doc", pa.int64()), ("hub_pos", pa.int32()), ("pos", pa.int32())])
 
     def runs_of(rows):
         """Where runs of one document's places of a seed begin."""
@@ -276,9 +287,7 @@ def _neighbours(batches, first_side: str):
             tried(j, best, score, BETTER)
         one, two = np.flatnonzero(low >= 0), np.flatnonzero((best >= 0) & (best != low))
         i, j = np.concatenate([i[one], i[two]]), np.concatenate([low[one], best[two]])
-        turn = d[i] > d[j]
-        hub, doc = np.where(turn, j, i), np.where(turn, i, j)
-        return pa.RecordBatch.from_arrays([pa.array(d[hub]), pa.array(d[doc]), pa.array(p[hub], pa.int32()), pa.array(p[doc], pa.int32())], schema=schema)
+        return _matched_places(d, p, i, j)
 
     held, start = None, 0
     for batch in batches:
@@ -299,6 +308,132 @@ def _neighbours(batches, first_side: str):
         yield done(*held, start, held[0].shape[1])
 
 
+def _front(words: np.ndarray) -> np.ndarray:
+    """The first 16 words of context rows in 64 bits, the first one highest."""
+    packed = _nibbles(words[:, :16]).astype(np.uint64)
+    return (packed << np.arange(56, -8, -8).astype(np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Words of two fronts that are equal or may be so one word off."""
+    four, ones = np.uint64(4), np.uint64(0x1111111111111111)
+
+    def unequal(x: np.ndarray) -> np.ndarray:
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        return x & ones
+
+    # The last word's later neighbour is not in the front, and the first has none before it.
+    last, first = np.uint64(0xFFFFFFFFFFFFFFF0), np.uint64(0x0FFFFFFFFFFFFFFF)
+    off = unequal(a ^ b) & unequal(a ^ (b << four)) & last & (unequal(a ^ (b >> four)) | ~first)
+    return np.uint8(16) - np.bitwise_count(off)
+
+
+def may_fit(right: np.ndarray, left: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether ``likeness`` of the fronts' places i and j can reach LEAST; never false where it does.
+
+    Of the SIDE words either all lie in the two fronts, or all but SIDE - 16 in one.
+    """
+    r, w = _agreeing(right[i], right[j]), _agreeing(left[i], left[j])
+    return (r + w >= LEAST) | (r >= LEAST - (SIDE - 16)) | (w >= LEAST - (SIDE - 16))
+
+
+def reaches(right: np.ndarray, left: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How far to the right and left stretches of CHAIN words and SHARE through the seeds of i and j reach, and all equal words."""
+    tenths = round(SHARE * 10)
+    same = [x[i] == x[j] for x in (right, left)]
+    level = [np.zeros((len(i), CONTEXT + 1), np.int16) for _ in same]
+    for out, s in zip(level, same):
+        np.cumsum(np.where(s, 10 - tenths, -tenths), axis=1, out=out[:, 1:])
+    found = []
+    for own, other in (level, level[::-1]):
+        ahead = np.maximum.accumulate(other[:, ::-1], axis=1)[:, ::-1]  # the best level with so many words or more
+        need = np.maximum(SIDE - np.arange(CONTEXT + 1), 0)
+        good = own + ahead[:, need] + K * (10 - tenths) >= 0
+        found.append(np.where(good.any(axis=1), CONTEXT - good[:, ::-1].argmax(axis=1), -1))
+    return found[0], found[1], same[0].sum(axis=1) + same[1].sum(axis=1)
+
+
+def _searched(rows: np.ndarray, right: np.ndarray, left: np.ndarray):
+    """Whole tasks (seed, p, q, side, doc, pos), in that order -> matches of each place with those of its task's other block, or of its only one."""
+    # Places with equal words around them are one class; if several documents have them, they go with its first one and two stand for all.
+    context = np.ascontiguousarray(np.concatenate([_nibbles(right), _nibbles(left)], axis=1)).view(np.uint64).T
+    order = np.lexsort((rows[5], rows[4], *context, *rows[3::-1]))
+    rows, right, left, context = rows[:, order], right[order], left[order], context[:, order]
+    new = np.concatenate([[True], (rows[:4, 1:] != rows[:4, :-1]).any(axis=0) | (context[:, 1:] != context[:, :-1]).any(axis=0)])
+    begin, of = np.flatnonzero(new), np.cumsum(new) - 1
+    first = rows[4] == rows[4][begin][of]
+    second = np.flatnonzero(~first & np.concatenate([[False], first[:-1]]))
+    other = np.full(len(begin), -1)
+    other[of[second]] = second
+    shared = other[of] >= 0
+    own = np.flatnonzero(shared & (rows[1] == rows[2]))
+    if len(own):
+        yield _matched_places(rows[4], rows[5], own, np.where(first[own], other[of[own]], begin[of[own]]))
+    keep = ~shared
+    keep[begin] = keep[second] = True
+    rows, right, left, searches = rows[:, keep], right[keep], left[keep], ~shared[keep]
+    s, p, q, side, d, at = rows
+    cut = np.flatnonzero(np.concatenate([[True], (rows[:4, 1:] != rows[:4, :-1]).any(axis=0), [True]]))
+    run = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    # A task of two blocks has two runs next to each other, if both have places.
+    twin = np.where(p == q, run, np.where(side == 0, run + 1, run - 1))
+    held = (twin >= 0) & (twin < len(cut) - 1)
+    held[held] = (rows[:3, cut[twin[held]]] == rows[:3][:, held]).all(axis=0)
+    here = np.flatnonzero(searches & held)
+    size = cut[twin[here] + 1] - cut[twin[here]]
+    fronts = _front(right), _front(left)
+    total = np.cumsum(size)
+    x = 0
+    while x < len(here):
+        y = max(x + 1, int(np.searchsorted(total, (total[x - 1] if x else 0) + PAIRS, side="right")))
+        n = size[x:y]
+        i = np.repeat(here[x:y], n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(cut[twin[here[x:y]]], n)
+        fits = np.flatnonzero(may_fit(*fronts, i, j) & (d[i] != d[j]))
+        i, j = i[fits], j[fits]
+        like = likeness(right, left, i, j)
+        i, j = i[like >= LEAST], j[like >= LEAST]
+        if len(i):
+            picked = []
+            for value in reaches(right, left, i, j):
+                best = np.lexsort((at[j], d[j], -value, i))
+                picked.append(best[np.concatenate([[True], i[best][1:] != i[best][:-1]])])
+            picked = np.unique(np.concatenate(picked))
+            yield _matched_places(d, at, i[picked], j[picked])
+        x = y
+
+
+def _exhaustive(batches):
+    """Places in order of (seed, p, q, side), in tasks p, q -> matches of each place with all that its task compares it with."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("seed", "p", "q", "side", "doc", "pos")])
+        now = rows, _sided(batch.column("right")), _sided(batch.column("left"))
+        if held is not None:
+            now = np.concatenate([held[0], now[0]], axis=1), np.concatenate([held[1], now[1]]), np.concatenate([held[2], now[2]])
+        last = (now[0][:3] == now[0][:3, -1:]).all(axis=0)  # the last task may go on in the next batch
+        stay = int(last.argmax())
+        if stay:
+            yield from _searched(now[0][:, :stay], now[1][:stay], now[2][:stay])
+        held = now[0][:, stay:], now[1][stay:], now[2][stay:]
+    if held is not None:
+        yield from _searched(*held)
+
+
+def _in_blocks(places: DataFrame) -> DataFrame:
+    """Places of seeds with more of them than neighbours are compared, once for each task (seed, p, q) of theirs: two blocks, or one."""
+    often = places.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEAR + 1)
+    k = F.ceil(F.col("n") / BLOCK)
+    # Places with equal words around them are in one block.
+    own = places.join(often, "seed").withColumns({"own": F.pmod(F.xxhash64("right", "left"), k), "other": F.explode(F.sequence(F.lit(0).cast("long"), k - 1))})
+    return own.select(
+        "seed", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "pos", "right", "left"
+    )
+
+
 class Fenwick:
     """Prefix maxima with their owners."""
 
@@ -598,7 +733,8 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     bitmap.unpersist()
     match = "hub long, doc long, hub_pos int, pos int"
     by = lambda side: places.repartitionByRange("seed", side, "doc").sortWithinPartitions("seed", side, "doc", "pos").mapInArrow(partial(_neighbours, first_side=side), match)
-    matches = work.stage(by("right").union(by("left")), "chain-matches")
+    tasks = _in_blocks(places).repartition("seed", "p", "q").sortWithinPartitions("seed", "p", "q", "side")
+    matches = work.stage(by("right").union(by("left")).union(tasks.mapInArrow(_exhaustive, match)), "chain-matches")
     work.drop("chain-places")
     found = (
         matches.repartition("hub", "doc")

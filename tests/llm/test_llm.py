@@ -697,6 +697,36 @@ def test_passages_that_the_first_document_repeats(spark, more):
     assert got == {(1, 0, 60), (1, 500, 560), *((k, 40, 100) for k in range(2, 3 + more))}
 
 
+def test_prefilter_of_places_keeps_all_similar_ones():
+    rng = np.random.default_rng(4)
+    right, left = (rng.integers(0, 16, (400, chaining.CONTEXT), np.uint8) for _ in range(2))
+    for words in (right, left):
+        words[200:] = np.where(rng.random((200, chaining.CONTEXT)) < 0.25, words[200:], words[:200])
+        words[300:] = np.concatenate([words[300:, :5], words[100:200, 4:-1]], axis=1)  # a word more
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(400), np.arange(400)))
+    fits = chaining.may_fit(chaining._front(right), chaining._front(left), i, j)
+    like = chaining.likeness(right, left, i, j) >= chaining.LEAST
+    assert fits[like].all() and 400 < like.sum() < fits.sum() < len(i) // 10
+
+
+@pytest.mark.parametrize("block", [1 << 12, 16])
+def test_places_of_a_frequent_line_are_searched_in_full(spark, block, monkeypatch):
+    """A line of many documents is the only seed of a fuzzy passage of two, whose words beside it differ."""
+    monkeypatch.setattr(chaining, "BLOCK", block)
+    texts, want = [], set()
+    for t in range(12):
+        line = prose(f"line {t}", 11, 10**6)
+        one = prose(f"one {t}", 22, 10**6).split(), prose(f"two {t}", 22, 10**6).split()
+        two = [[f"e{t}{k}" if k % 5 == own else w for k, w in enumerate(words)] for words, own in zip(one, (1, 0))]
+        for k in range(60):
+            texts.append((1000 * t + k, f"{prose(f'{t} {k}', 30, 10**6)} {line} {prose(f'{t} {k} b', 30, 10**6)}"))
+        for k, (a, b) in enumerate((one, two)):
+            texts.append((10**6 + 2 * t + k, " ".join([prose(f"{t} {k} c", 30, 10**6), *a, line, *b, prose(f"{t} {k} d", 30, 10**6)])))
+            want.add(10**6 + 2 * t + k)
+    got = {r.doc_id for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    assert got == want
+
+
 # quality
 
 
