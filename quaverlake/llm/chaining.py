@@ -734,13 +734,16 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     match = "hub long, doc long, hub_pos int, pos int"
     by = lambda side: places.repartitionByRange("seed", side, "doc").sortWithinPartitions("seed", side, "doc", "pos").mapInArrow(partial(_neighbours, first_side=side), match)
     tasks = _in_blocks(places).repartition("seed", "p", "q").sortWithinPartitions("seed", "p", "q", "side")
-    matches = work.stage(by("right").union(by("left")).union(tasks.mapInArrow(_exhaustive, match)), "chain-matches")
+    # Each search is chained on its own: further matches may make other chains of two documents' repeats.
+    searches = [work.stage(m, "chain-matches") for m in (by("right").union(by("left")), tasks.mapInArrow(_exhaustive, match))]
     work.drop("chain-places")
-    found = (
+    found, more = (
         matches.repartition("hub", "doc")
         .sortWithinPartitions("hub", "doc", "pos", "hub_pos")
         .mapInArrow(_chained, "hub long, doc long, hub_from long, hub_to long, `from` long, `to` long, seeds binary")
+        for matches in searches
     )
+    found = found.union(more).distinct()
     found = work.stage(found, "chains")
     wanted = found.select("doc", "from", "to").union(found.select("hub", "hub_from", "hub_to")).distinct()
     wanted = work.stage(wanted.groupBy("doc").agg(F.collect_list(F.struct("from", "to")).alias("parts")), "chain-parts")
