@@ -24,6 +24,7 @@ from end to end.
 from __future__ import annotations
 
 import hashlib
+from fractions import Fraction
 from functools import partial
 
 import numpy as np
@@ -50,6 +51,8 @@ CONTEXT, NEAR = 24, 3
 PREFIX, BETTER = 8, 3
 #: Places in a block of a seed's places, about, and pairs of places that a task compares at once.
 BLOCK, PAIRS = 1 << 12, 1 << 17
+#: Places of a task from which they are compared as rows and columns, not as a list of pairs.
+TILE = 64
 #: Words of a stretch of CHAIN words through a seed that must be equal beside it, or one word off.
 SIDE = CHAIN - K
 LEAST = int(SHARE * CHAIN) - K
@@ -338,20 +341,116 @@ def may_fit(right: np.ndarray, left: np.ndarray, i: np.ndarray, j: np.ndarray) -
     return (r + w >= LEAST) | (r >= LEAST - (SIDE - 16)) | (w >= LEAST - (SIDE - 16))
 
 
-def reaches(right: np.ndarray, left: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How far to the right and left stretches of CHAIN words and SHARE through the seeds of i and j reach, and all equal words."""
-    tenths = round(SHARE * 10)
-    same = [x[i] == x[j] for x in (right, left)]
-    level = [np.zeros((len(i), CONTEXT + 1), np.int16) for _ in same]
-    for out, s in zip(level, same):
-        np.cumsum(np.where(s, 10 - tenths, -tenths), axis=1, out=out[:, 1:])
+def _planes(right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """(3, 4, places): four bits of all words of a place, of those one word on and of those one word back, the words after it in the low half of 64 bits."""
+    moved = np.arange(CONTEXT), np.append(np.arange(1, CONTEXT), CONTEXT - 1), np.append(0, np.arange(CONTEXT - 1))  # at the ends a word stands again
+    out = np.zeros((3, 4, len(right), 8), np.uint8)
+    for plane, at in zip(out, moved):
+        for first, words in ((0, right), (4, left)):
+            for bit in range(4):
+                plane[bit, :, first : first + CONTEXT // 8] = np.packbits(words[:, at] >> bit & 1, axis=1, bitorder="little")
+    return out.view("<u8")[..., 0]
+
+
+def _tile(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Like ``may_fit``, of places in rows with places in columns, by their planes."""
+    missed = []
+    unequal, more, off = (np.empty((one.shape[-1], two.shape[-1]), np.uint16) for _ in range(3))
+    for low in (0, 32):
+        a, b = ((x >> np.uint64(low)).astype(np.uint16) for x in (one[0], two))  # the first 16 words
+        for n, moved in enumerate(b):
+            out = unequal if n else off
+            np.bitwise_xor(a[0][:, None], moved[0], out=out)
+            for k in range(1, 4):
+                np.bitwise_xor(a[k][:, None], moved[k], out=more)
+                out |= more
+            if n:
+                off &= unequal
+        missed.append(np.bitwise_count(off))
+    most = 16 - (LEAST - (SIDE - 16))
+    return (missed[0] <= most) | (missed[1] <= most) | (missed[0] + missed[1] <= 32 - LEAST)
+
+
+def _compared(planes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words around the places i and j are equal, and which are equal or one word off, as their planes have them."""
+    a = [x[i] for x in planes[0]]
+    equal = near = None
+    for moved in planes:
+        unequal = a[0] ^ moved[0][j]
+        for k in range(1, 4):
+            unequal |= a[k] ^ moved[k][j]
+        equal = ~unequal if equal is None else equal
+        near = equal.copy() if near is None else near | ~unequal
+    return equal, near
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    """The bits of 64-bit numbers in rows, the lowest first."""
+    parts = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return ((parts[:, None] & (1 << np.arange(8, dtype=np.uint8))[:, None]) != 0).view(np.int8).reshape(64, -1)
+
+
+def alike(near: np.ndarray) -> np.ndarray:
+    """Whether ``likeness`` of two places reaches LEAST, by the words that are equal or one word off."""
+    same = _bits(near)
+    level = same[32 : 32 + SIDE].sum(axis=0, dtype=np.int8)
+    out = level >= LEAST
+    for k in range(SIDE):
+        level += same[k]
+        level -= same[32 + SIDE - 1 - k]
+        out |= level >= LEAST
+    return out
+
+
+def reaches(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How far to the right and left stretches of CHAIN words and SHARE through two places' seeds reach, and all equal words."""
+    down, whole = Fraction(SHARE).limit_denominator(20).as_integer_ratio()
+    up = whole - down
+    lowest = np.int8(-up * (2 * CONTEXT + K) - 1)  # no stretch counts that goes on from there
+    same = _bits(equal)
+    level = np.zeros((2, CONTEXT + 1, len(equal)), np.int8)
+    for out, first in zip(level, (0, 32)):
+        for k in range(CONTEXT):
+            np.multiply(same[first + k], np.int8(whole), out=out[k + 1])
+            out[k + 1] -= np.int8(down)
+            out[k + 1] += out[k]
+            np.maximum(out[k + 1], lowest, out=out[k + 1])
+    ahead = level.copy()  # the best level with so many words or more
+    for k in range(CONTEXT - 1, -1, -1):
+        np.maximum(ahead[:, k], ahead[:, k + 1], out=ahead[:, k])
     found = []
-    for own, other in (level, level[::-1]):
-        ahead = np.maximum.accumulate(other[:, ::-1], axis=1)[:, ::-1]  # the best level with so many words or more
-        need = np.maximum(SIDE - np.arange(CONTEXT + 1), 0)
-        good = own + ahead[:, need] + K * (10 - tenths) >= 0
-        found.append(np.where(good.any(axis=1), CONTEXT - good[:, ::-1].argmax(axis=1), -1))
-    return found[0], found[1], same[0].sum(axis=1) + same[1].sum(axis=1)
+    for own, other in ((0, 1), (1, 0)):
+        reach = np.zeros(len(equal), np.int8)
+        for k in range(CONTEXT + 1):
+            good = level[own, k] + ahead[other, max(SIDE - k, 0)] >= -K * up
+            np.maximum(reach, good.view(np.int8) * np.int8(k + 1), out=reach)
+        found.append(reach - np.int8(1))
+    held = np.uint64((1 << CONTEXT) - 1)
+    return found[0], found[1], np.bitwise_count(equal & (held | held << np.uint64(32)))
+
+
+def _may_fit_of(right: np.ndarray, left: np.ndarray, planes: np.ndarray, here: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Pairs (i, j) of the places ``here`` with those from ``begin`` to ``end`` that may fit, in order; all of a place in one yield."""
+    size = end - begin
+    few, many = np.flatnonzero(size < TILE), np.flatnonzero(size >= TILE)
+    fronts = _front(right), _front(left)
+    total = np.cumsum(size[few])
+    x = 0
+    while x < len(few):
+        y = max(x + 1, int(np.searchsorted(total, (total[x - 1] if x else 0) + PAIRS, side="right")))
+        n = size[few[x:y]]
+        i = np.repeat(here[few[x:y]], n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[few[x:y]], n)
+        fits = may_fit(*fronts, i, j)
+        yield i[fits], j[fits]
+        x = y
+    for run in np.split(many, np.flatnonzero(np.diff(begin[many])) + 1) if len(many) else []:
+        low, n = begin[run[0]], size[run[0]]
+        step = max(1, PAIRS // n)
+        for x in range(0, len(run), step):
+            i = here[run[x : x + step]]
+            row, column = np.divmod(np.flatnonzero(_tile(planes[:, :, i], planes[:, :, low : low + n])), n)
+            yield i[row], low + column
 
 
 def _searched(rows: np.ndarray, right: np.ndarray, left: np.ndarray):
@@ -381,27 +480,22 @@ def _searched(rows: np.ndarray, right: np.ndarray, left: np.ndarray):
     held = (twin >= 0) & (twin < len(cut) - 1)
     held[held] = (rows[:3, cut[twin[held]]] == rows[:3][:, held]).all(axis=0)
     here = np.flatnonzero(searches & held)
-    size = cut[twin[here] + 1] - cut[twin[here]]
-    fronts = _front(right), _front(left)
-    total = np.cumsum(size)
-    x = 0
-    while x < len(here):
-        y = max(x + 1, int(np.searchsorted(total, (total[x - 1] if x else 0) + PAIRS, side="right")))
-        n = size[x:y]
-        i = np.repeat(here[x:y], n)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(cut[twin[here[x:y]]], n)
-        fits = np.flatnonzero(may_fit(*fronts, i, j) & (d[i] != d[j]))
-        i, j = i[fits], j[fits]
-        like = likeness(right, left, i, j)
-        i, j = i[like >= LEAST], j[like >= LEAST]
+    planes = _planes(right, left)
+    order = np.lexsort((at, d))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order) - 1, -1, -1)  # of equal values that of the smallest document and place counts
+    for i, j in _may_fit_of(right, left, planes, here, cut[twin[here]], cut[twin[here] + 1]):
+        other = d[i] != d[j]
+        i, j = i[other], j[other]
+        equal, near = _compared(planes, i, j)
+        fits = alike(near)
+        i, j, equal = i[fits], j[fits], equal[fits]
         if len(i):
-            picked = []
-            for value in reaches(right, left, i, j):
-                best = np.lexsort((at[j], d[j], -value, i))
-                picked.append(best[np.concatenate([[True], i[best][1:] != i[best][:-1]])])
-            picked = np.unique(np.concatenate(picked))
-            yield _matched_places(d, at, i[picked], j[picked])
-        x = y
+            begin = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+            best = [order[-1 - np.maximum.reduceat(value * len(order) + rank[j], begin) % len(order)] for value in map(np.int64, reaches(equal))]
+            one, two = np.tile(i[begin], len(best)), np.concatenate(best)
+            one, two = np.divmod(np.unique(one * len(order) + two), len(order))
+            yield _matched_places(d, at, one, two)
 
 
 def _exhaustive(batches):
