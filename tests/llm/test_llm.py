@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quaverlake.llm import chaining, chat_format, decontaminate, exact_dedup, licenses, mixing, ngram_join, quality, suffix_dedup, url_filter
+from quaverlake.llm import chaining, chat_format, common, decontaminate, exact_dedup, licenses, mixing, ngram_join, quality, suffix_dedup, url_filter
 from quaverlake.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -45,6 +45,38 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_staging_gives_freed_native_memory_back(spark):
+    """What the driver's JVM has freed outside of its heap doesn't stay with the process."""
+    jvm = spark.sparkContext._jvm
+    field = jvm.Class.forName("sun.misc.Unsafe").getDeclaredField("theUnsafe")
+    field.setAccessible(True)
+    unsafe, size = field.get(None), 65536
+
+    def resident(addresses):
+        """MB of the mappings that hold these addresses."""
+        total, inside = 0, False
+        with open(f"/proc/{jvm.ProcessHandle.current().pid()}/smaps") as maps:
+            for line in maps:
+                if m := re.match(r"([0-9a-f]+)-([0-9a-f]+) ", line):
+                    inside = any(int(m[1], 16) <= a < int(m[2], 16) for a in addresses)
+                elif inside and line.startswith("Rss:"):
+                    total += int(line.split()[1]) / 1024
+        return total
+
+    for give_back in (lambda: common.stage(spark.range(3), "trimmed"), lambda: common.release(spark)):
+        blocks = [unsafe.allocateMemory(size) for _ in range(512)]
+        for b in blocks:
+            unsafe.setMemory(b, size, 1)
+        kept = blocks[7::8]  # among the others, so that the C library can't just cut its heap short
+        for b in set(blocks) - set(kept):
+            unsafe.freeMemory(b)
+        before = resident(blocks)
+        give_back()
+        assert before > 30 and resident(blocks) < before - 8
+        for b in kept:
+            unsafe.freeMemory(b)
+
+
 # exact dedup
 
 
